@@ -1,6 +1,262 @@
-from pyspark.sql import DataFrame
+"""Reproducible samples: per model, per label, by position, and cyclic draws.
+
+Every choice follows a hash of keys and a seed, never the partitioning.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from medialoom.functions import fixed_values as fv
+from medialoom.functions.columns import archive_key, hash_number, int_div, order_hash
+from medialoom.operators.numbering import hash_index, ordered_index
+from medialoom.operators.skew import salted_left_join
 
 
 def head_rows(df: DataFrame, n: int, order: list) -> DataFrame:
     """First n rows in the given order."""
     return df.orderBy(*order).limit(n)
+
+
+def preview(df: DataFrame, order: list, n: int = 5) -> DataFrame:
+    """First rows of a dry run."""
+    return head_rows(df, n, order)
+
+
+def hash_shuffle(df: DataFrame, key: list[str], seed: object = fv.SHUFFLE_SEED) -> DataFrame:
+    """All rows in a reproducible random order."""
+    return df.orderBy(order_hash(seed, *key), *key)
+
+
+def model_shuffle(df: DataFrame, key: list[str], model_id: str, index: str = "idx") -> DataFrame:
+    """Position of every row in the shuffle that belongs to one model."""
+    return hash_index(df, key, seed=model_id, index=index)
+
+
+def hash_sample(df: DataFrame, key: list[str], n: int, seed: object = fv.SHUFFLE_SEED) -> DataFrame:
+    """n random rows, or all if there are fewer."""
+    return hash_shuffle(df, key, seed).limit(n)
+
+
+def sample_label(
+    df: DataFrame, label: str, n: int, key: list[str], seed: object = fv.SHUFFLE_SEED
+) -> DataFrame:
+    """n random rows of one label, or all of them if there are fewer."""
+    return hash_sample(df.filter(F.col("label") == label), key, n, seed)
+
+
+def cap_needed(
+    df: DataFrame, most: int | None, key: list[str], seed: object = fv.SHUFFLE_SEED
+) -> DataFrame:
+    """The optional cap for trial runs; without one, everything."""
+    return df if not most else hash_sample(df, key, most, seed)
+
+
+def pick_rows(
+    df: DataFrame,
+    order: list[str],
+    count: int = 1,
+    index: int | None = None,
+    seed: object = fv.SHUFFLE_SEED,
+) -> DataFrame:
+    """``count`` picks: always the row at ``index``, or a random row for each pick.
+
+    Random picks are made with replacement, each by its own hash of the seed.
+    """
+    numbered = ordered_index(df, order)
+    if index is not None:
+        return numbered.filter(F.col("idx") == index).select(
+            F.explode(F.sequence(F.lit(1), F.lit(count))).alias("pick"), "*"
+        )
+    total = df.agg(F.count(F.lit(1)).alias("n"))
+    picks = total.select(
+        F.explode(F.sequence(F.lit(1), F.lit(count))).alias("pick"), "n"
+    ).select("pick", F.pmod(hash_number(F.concat_ws("|", F.lit(str(seed)), "pick")), "n").alias("idx"))
+    return picks.join(numbered, "idx")
+
+
+def skip_first(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """What comes after the first n rows, as for a resumed run."""
+    return ordered_index(df, order).filter(F.col("idx") >= n).drop("idx")
+
+
+# --- masks ------------------------------------------------------------------
+
+
+def valid_masks(rows: DataFrame, files: DataFrame, path: str = "MaskPath") -> DataFrame:
+    """Rows whose file exists."""
+    return rows.join(files.select(F.col("path").alias(path)), path, "left_semi")
+
+
+def missing_masks(rows: DataFrame, files: DataFrame, path: str = "MaskPath") -> DataFrame:
+    return rows.join(files.select(F.col("path").alias(path)), path, "left_anti")
+
+
+def flag_masks(
+    rows: DataFrame, files: DataFrame, spread: list[str], path: str = "MaskPath"
+) -> DataFrame:
+    """All rows with a flag that tells whether their file exists; hot files are spread."""
+    there = files.select(F.col("path").alias(path)).distinct().withColumn("_there", F.lit(True))
+    joined = salted_left_join(rows, there, path, spread)
+    return joined.withColumn("valid", F.coalesce("_there", F.lit(False))).drop("_there")
+
+
+def needed_masks(shards: DataFrame) -> DataFrame:
+    return shards.select("MaskPath").distinct()
+
+
+def masks_with_archive(needed: DataFrame) -> DataFrame:
+    """Every needed mask with the key of its archive: the sets, one row per member."""
+    return needed.withColumn("archive", archive_key(F.col("MaskPath")))
+
+
+def masks_by_archive(needed: DataFrame) -> DataFrame:
+    """Number of masks of each archive, in key order."""
+    counted = masks_with_archive(needed).groupBy("archive").agg(F.count(F.lit(1)).alias("masks"))
+    return counted.orderBy("archive")
+
+
+def resolve_mask_path(needed: DataFrame, files: DataFrame) -> DataFrame:
+    """First existing of the three folder layouts for each mask, null if none."""
+    key = archive_key(F.col("MaskPath"))
+    layouts = F.array(
+        F.col("MaskPath"),
+        F.concat_ws("/", key, "MaskPath"),
+        F.concat_ws("/", F.concat(F.lit("train-masks-"), key), "MaskPath"),
+    )
+    tried = needed.select("MaskPath", F.posexplode(layouts).alias("place", "path"))
+    found = tried.join(files.select("path"), "path", "left_semi")
+    best = found.groupBy("MaskPath").agg(F.min_by("path", "place").alias("path"))
+    return needed.join(best, "MaskPath", "left")
+
+
+def uncached_images(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Distinct images that are not on disk yet."""
+    wanted = rows.select("ImageID").distinct()
+    there = files.select(F.col("image").alias("ImageID"))
+    return wanted.join(there, "ImageID", "left_anti")
+
+
+def cache_counts(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """How many distinct images are on disk and how many must be fetched."""
+    wanted = rows.select("ImageID").distinct()
+    there = files.select(F.col("image").alias("ImageID")).distinct()
+    joined = wanted.join(there.withColumn("there", F.lit(True)), "ImageID", "left")
+    return joined.agg(
+        F.count_if(F.col("there").isNull()).alias("to_fetch"),
+        F.count_if(F.col("there")).alias("cached"),
+    )
+
+
+# --- one sample per model ---------------------------------------------------
+
+
+def sample_per_model(
+    models: DataFrame,
+    rows: DataFrame,
+    files: DataFrame,
+    key: list[str],
+    seed: object = fv.SHUFFLE_SEED,
+) -> DataFrame:
+    """``target`` rows with an existing mask for every model (id, target).
+
+    The rows are shuffled once and the valid ones numbered. A model starts at its own
+    position and goes on with its own stride, which shares no factor with the number
+    of rows, so it meets every valid row once before it meets one again. The work is
+    one shuffle of the rows plus the sampled rows; no model is paired with rows it
+    does not take. ``missing_before`` counts the missing rows that the shuffle holds
+    right before a valid one: what a reader of the shuffle meets on the way.
+    """
+    flagged = flag_masks(rows, files, key)
+    valid_count = rows_valid(rows, files)
+    numbered = hash_index(
+        flagged, key, seed, index="_pos", sums={"_seen": F.col("valid").cast("bigint")}
+    )
+    valid = numbered.filter("valid").select(
+        (F.col("_seen") - 1).alias("slot"),
+        (F.col("_pos") - F.col("_seen") + 1).alias("_missing"),
+        *rows.columns,
+    )
+    earlier = valid.select((F.col("slot") + 1).alias("slot"), F.col("_missing").alias("_before"))
+    slots = (
+        valid.join(earlier, "slot", "left")
+        .withColumn("missing_before", F.col("_missing") - F.coalesce("_before", F.lit(0)))
+        .drop("_missing", "_before")
+    )
+    tasks = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = hash_number(F.col("id"))
+    stride = F.get(
+        F.array(*[F.lit(p).cast("bigint") for p in fv.STRIDES]),
+        F.pmod(number, F.lit(len(fv.STRIDES))).cast("int"),
+    )
+    walks = (
+        models.select("id", "target")
+        .repartition(tasks, "id")
+        .withColumn("_n", valid_count)
+        .withColumn("_take", F.least(F.col("target").cast("bigint"), "_n"))
+        .filter(F.col("_take") > 0)
+        .withColumn("_start", F.pmod(number, "_n"))
+        .withColumn("_stride", F.pmod(stride, "_n"))
+        .select(
+            "id",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_take") - 1)).alias("rank"),
+            "_start",
+            "_stride",
+            "_n",
+        )
+    )
+    slot = F.pmod(F.col("_start") + F.col("rank") * F.col("_stride"), "_n")
+    return walks.select("id", "rank", slot.alias("slot")).join(slots, "slot").drop("slot")
+
+
+def rows_valid(rows: DataFrame, files: DataFrame) -> Column:
+    """Number of rows whose mask exists, as a scalar subquery."""
+    return valid_masks(rows, files).agg(F.count(F.lit(1)).alias("n")).scalar()
+
+
+def sampling_report(sample: DataFrame, models: DataFrame, missing_total: Column) -> DataFrame:
+    """Per model the rows found and the missing masks met before the quota was filled.
+
+    A model whose quota was not filled has read the whole shuffle, so it met them all.
+    """
+    taken = sample.groupBy("id").agg(
+        F.count(F.lit(1)).alias("found"), F.sum("missing_before").alias("_met")
+    )
+    joined = models.select("id", "target").join(taken, "id", "left")
+    found = F.coalesce("found", F.lit(0))
+    return joined.select(
+        "id",
+        "target",
+        found.alias("found"),
+        F.when(found < F.col("target"), missing_total).otherwise(F.col("_met")).alias("missing_met"),
+    )
+
+
+def quota_shortfall(sample: DataFrame, models: DataFrame, date: str) -> DataFrame:
+    """Registry rows for models whose sample is smaller than their quota."""
+    taken = sample.groupBy("id").agg(F.count(F.lit(1)).alias("found"))
+    joined = models.select("id", "target").join(taken, "id", "left").fillna(0, ["found"])
+    return joined.filter(F.col("found") < F.col("target")).select(
+        F.col("id").alias("model_id"),
+        F.lit(fv.INFRASTRUCTURE_FAULT).alias("status"),
+        F.format_string(fv.REASON_SHORT, "found", "target").alias("reason"),
+        F.lit(date).alias("date"),
+    )
+
+
+def cyclic_prompts(
+    pool: DataFrame, key: list[str], n: int | Column, seed: object = fv.SHUFFLE_SEED
+) -> DataFrame:
+    """n draws from the pool: it is read through and shuffled anew at every wrap.
+
+    Each round is numbered on its own, with a seed made of the round; the position
+    of a draw is round * size + place.
+    """
+    count = F.lit(n).cast("bigint") if isinstance(n, int) else n
+    size = pool.agg(F.count(F.lit(1)).alias("n")).scalar()
+    rounds = F.sequence(F.lit(0).cast("bigint"), int_div(count - 1, size))
+    repeated = pool.withColumn("round", F.explode(F.when(count > 0, rounds)))
+    numbered = hash_index(repeated, key, seed, index="_place", parts=["round"])
+    drawn = numbered.withColumn("position", F.col("round") * size + F.col("_place"))
+    return drawn.filter(F.col("position") < count).drop("_place")

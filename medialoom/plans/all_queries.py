@@ -1,4 +1,4 @@
 """Imports every module of registered queries."""
 
-from medialoom.plans import catalogue_queries, context_queries  # noqa: F401
+from medialoom.plans import catalogue_queries, context_queries, sampling_queries  # noqa: F401
 from medialoom.plans.registered import ORACLES, QUERIES  # noqa: F401

@@ -180,6 +180,11 @@ BINDINGS: dict[str, str] = {
                case when substr({LINE_KEY}, 32, 1) = '0' then '.tmp' else '.png' end as path,
                cast(l_quantity as bigint) as length
         from {{lineitem}}""",
+    # one row per supplier: fewer than most quotas
+    "short_rows": f"""
+        select cast(l_suppkey as string) as ImageID, min(substr({LINE_KEY}, 1, 12) || '.png') as MaskPath,
+               cast(l_suppkey as string) as LabelName, min({LINE_KEY}) as ord
+        from {{lineitem}} group by l_suppkey""",
     "videos": """
         select cast(conv_id as string) as id, cast(7 * count(*) as int) as total_frames
         from {conversations} group by conv_id""",
