@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import any_contains, day_text
+from medialoom.operators.skew import lookup_join
 
 
 def _exit_kind(code: Column) -> Column:
@@ -76,7 +77,7 @@ def before_halt(attempts: DataFrame, run: str = "run", order: list[str] = ("ts",
         .groupBy(run)
         .agg(F.min(at).alias("_halt"))
     )
-    kept = attempts.join(first, run, "left")
+    kept = lookup_join(attempts, first, run, list(order))
     return kept.filter(F.col("_halt").isNull() | (at < F.col("_halt"))).drop("_halt")
 
 
