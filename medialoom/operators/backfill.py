@@ -50,7 +50,7 @@ def match_files_to_models(files: DataFrame, registry: DataFrame) -> DataFrame:
     joined = lookup_join(parsed, plain, "plain_stem", ["filename"])
     joined = lookup_join(joined, dated, "dated_stem", ["filename"])
     return joined.withColumn("model", F.coalesce("_plain", "_dated")).withColumn(
-        "date", F.when(F.col("_plain").isNull(), F.col("file_date"))
+        "date", F.when(F.col("_plain").isNull() & F.col("_dated").isNotNull(), F.col("file_date"))
     ).drop("_plain", "_dated", "plain_stem", "dated_stem", "file_date")
 
 

@@ -14,6 +14,7 @@ from medialoom.functions.columns import base_name, int_div
 from medialoom.operators.numbering import fixed_shards, ordered_index, row_total
 from medialoom.sources.writers import finished_parts, unfinished
 
+MOST_TASKS = 50_000
 IMAGE = "struct<bytes:binary,path:string>"
 
 
@@ -192,7 +193,10 @@ def write_image_shards(
     located = todo.join(
         files.select(F.col("path").alias("filename"), "location"), "filename"
     )
-    ordered = located.repartition("shard").sortWithinPartitions("shard", "idx")
+    # a fixed number of tasks: the rows are small but the bytes read for them are not,
+    # so small partitions must not be merged
+    tasks = max(1, min(todo.select("shard").distinct().count(), MOST_TASKS))
+    ordered = located.repartition(tasks, "shard").sortWithinPartitions("shard", "idx")
     rows = attach_bytes(
         ordered.select(
             "filename", "label", "subreddit", "post_date", "reddit_id", "shard", "location"

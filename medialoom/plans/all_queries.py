@@ -1,4 +1,10 @@
 """Imports every module of registered queries."""
 
-from medialoom.plans import catalogue_queries, context_queries, post_queries, sampling_queries  # noqa: F401
+from medialoom.plans import (  # noqa: F401
+    catalogue_queries,
+    context_queries,
+    packaging_queries,
+    post_queries,
+    sampling_queries,
+) # noqa: F401
 from medialoom.plans.registered import ORACLES, QUERIES  # noqa: F401
