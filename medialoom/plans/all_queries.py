@@ -3,8 +3,9 @@
 from medialoom.plans import (  # noqa: F401
     catalogue_queries,
     context_queries,
+    feed_queries,
     packaging_queries,
     post_queries,
     sampling_queries,
-) # noqa: F401
+)
 from medialoom.plans.registered import ORACLES, QUERIES  # noqa: F401

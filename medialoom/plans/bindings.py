@@ -185,6 +185,32 @@ BINDINGS: dict[str, str] = {
         select cast(l_suppkey as string) as ImageID, min(substr({LINE_KEY}, 1, 12) || '.png') as MaskPath,
                cast(l_suppkey as string) as LabelName, min({LINE_KEY}) as ord
         from {{lineitem}} group by l_suppkey""",
+    # feed posts in six shapes; the last has no url
+    "feed_rows": """
+        select event_id, case event_id % 6
+          when 0 then '{{"id": "e' || n || '", "title": "t: ' || event_type || '", "created_at": "' ||
+            substr(cast(ts as string), 1, 10) || '", "model": "m1", "encodings": {{"source": {{"path": ' ||
+            '"https://videos.openai.com/' || n || '/source.mp4", "width": ' || u || ', "height": 5, ' ||
+            '"duration_secs": 2.5}}}}, "user": {{"username": "u' || u || '"}}, "actions": {{"100": "' ||
+            event_type || '", "200": "x"}}, "props": ' || props || '}}'
+          when 1 then '{{"id": "", "post_id": "e' || n || '", "encodings": {{"source": {{"width": 7}}, ' ||
+            '"md": {{"url": "https://cdn.example.com/' || n || '.webm"}}}}, "height": 3, "text": "text ' ||
+            n || '"}}'
+          when 2 then '{{"gen_id": "e' || n || '", "videoUrl": "https://cdn.example.com/' || n ||
+            '.mp4", "prompt": "p ' || event_type || '"}}'
+          when 3 then '{{"id": "e' || n || '", "media": {{"source": "https://cdn.example.com/' || n ||
+            '.webp", "duration": 4, "width": ' || u || '}}, "author": {{"name": "a' || u || '"}}}}'
+          when 4 then '{{"id": "outer", "generation": {{"generations": [{{"id": "e' || n ||
+            '", "url": "https://videos.openai.com/v' || n || '", "title": " in/ner? "}}]}}}}'
+          else '{{"id": "e' || n || '", "title": "nothing"}}' end as body
+        from (select *, cast(event_id as string) as n, cast(user_id as string) as u from {events}) e""",
+    # stored details: every second of the posts without a url has one under its id
+    "feed_details": """
+        select case when event_id % 2 = 1 then 'e' else 'none' end || cast(event_id as string) as key,
+               '{{"id": "e' || cast(event_id as string) || '", "title": "from detail", "url": ' ||
+               '"https://videos.openai.com/d' || cast(event_id as string) ||
+               case when event_id % 4 = 1 then '"' else '", "model": "m2"' end || '}}' as body
+        from {events}""",
     "videos": """
         select cast(conv_id as string) as id, cast(7 * count(*) as int) as total_frames
         from {conversations} group by conv_id""",

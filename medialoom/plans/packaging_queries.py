@@ -292,12 +292,11 @@ def _(t):
 def _(t):
     from medialoom.sources.readers import names_in_array
 
-    # the tracker file's JSON arrays, one per source of the documents
+    # JSON arrays as in tracker files, a hundred names in each
     names = t.sql(
-        "select d.source, 'f' || cast(d.doc_id as string) || '.png' as name "
-        "from {labels} l join {documents} d on l.doc_id = d.doc_id"
+        "select doc_id div 100 as part, 'f' || cast(doc_id as string) || '.png' as name from {labels}"
     )
-    arrays = names.groupBy("source").agg(F.to_json(F.collect_list("name")).alias("value"))
+    arrays = names.groupBy("part").agg(F.to_json(F.collect_list("name")).alias("value"))
     return names_in_array(arrays)
 
 
@@ -309,13 +308,13 @@ def _(t):
 def _(t):
     from medialoom.sources.readers import registry_rows
 
-    # registry objects as stored, one per status and month
+    # JSON objects as in registry files, a hundred models in each
     member = F.concat(
         F.lit('"'), "model_id", F.lit('": '), F.to_json(F.struct("status", "reason", "date"))
     )
     objects = (
         t.view("registry")
-        .groupBy("status", "date")
+        .groupBy(col.int_div(F.col("ord"), 100).alias("part"))
         .agg(F.concat(F.lit("{"), F.array_join(F.collect_list(member), ", "), F.lit("}")).alias("value"))
     )
     return registry_rows(objects).drop("ord")
