@@ -333,29 +333,24 @@ def feed_cursor_chain(pages: DataFrame) -> DataFrame:
     full = pages.filter(F.size("posts") > 0).select(
         F.coalesce("request_cursor", F.lit("")).alias("cursor"), "next_cursor"
     )
-    links = full.filter(F.col("next_cursor").isNotNull())
-    jump = links.join(
-        full.select(F.col("cursor").alias("next_cursor")), "next_cursor", "left_semi"
+    full = cut_lineage(full, "pages")
+    jump = full.join(
+        full.select(F.col("cursor").alias("next_cursor")).distinct(), "next_cursor", "left_semi"
     ).select("cursor", F.col("next_cursor").alias("to"))
-    jump = cut_lineage(jump, "jump")
-    known = full.filter(F.col("cursor") == "").select("cursor").distinct()
-    known = known.withColumn("number", F.lit(0).cast("bigint"))
-    rounds = math.ceil(math.log2(max(jump.count(), 1))) + 1
-    size = known.count()
-    for i in range(rounds):
+    known = full.filter(F.col("cursor") == "").select(
+        "cursor", F.lit(0).cast("bigint").alias("number")
+    )
+    for i in range(math.ceil(math.log2(max(full.count(), 1))) + 1):
         reached = known.join(jump, "cursor").select(
             F.col("to").alias("cursor"), (F.col("number") + F.lit(2**i)).alias("number")
         )
-        both = known.unionByName(reached)
-        known = cut_lineage(both.groupBy("cursor").agg(F.min("number").alias("number")), "chain")
-        grown = known.count()
-        if grown == size:
-            break
-        size = grown
+        nearer = known.unionByName(reached).groupBy("cursor").agg(F.min("number").alias("number"))
         further = jump.select(F.col("cursor").alias("to"), F.col("to").alias("_to"))
-        jump = cut_lineage(
-            jump.join(further, "to").select("cursor", F.col("_to").alias("to")), "jump"
-        )
+        twice = jump.join(further, "to").select("cursor", F.col("_to").alias("to"))
+        # both tables of the round in one job
+        both = cut_lineage(nearer.unionByName(twice, allowMissingColumns=True), "chain")
+        known = both.filter(F.col("number").isNotNull()).select("cursor", "number")
+        jump = both.filter(F.col("to").isNotNull()).select("cursor", "to")
     return known
 
 
