@@ -8,5 +8,6 @@ from medialoom.plans import (  # noqa: F401
     packaging_queries,
     post_queries,
     sampling_queries,
+    source_queries,
 )
 from medialoom.plans.registered import ORACLES, QUERIES  # noqa: F401

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,10 +76,14 @@ def write_prompt_shards(df: DataFrame, path: str, tasks: int | None = None) -> N
 
 
 def write_manifest(df: DataFrame, path: str, model: str = "model") -> None:
-    """Sampled rows of all models in one job, one folder per model."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        model
-    ).parquet(path)
+    """Sampled rows of all models as one table, clustered by model.
+
+    Rows of a model lie together, so reading one model skips the files and row groups
+    of the others; there is no folder per model, of which there may be many.
+    """
+    rest = [c for c in df.columns if c != model]
+    clustered = df.repartitionByRange(model, *rest).sortWithinPartitions(model, *rest)
+    clustered.write.mode("overwrite").parquet(path)
 
 
 def write_sidecars(df: DataFrame, path: str) -> None:
@@ -92,3 +100,22 @@ def copy_sample(sample: DataFrame, files: DataFrame, path: str) -> DataFrame:
 
 def shard_file_name(shard: Column, shards: Column) -> Column:
     return F.format_string(fv.SHARD_NAME, shard, shards)
+
+
+def write_binary_files(df: DataFrame, folder: str, name: str, content: str) -> int:
+    """One file per row on shared storage, written by the tasks; returns how many.
+
+    A file is written under its own name, so a task that runs again writes the same.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        system.create_dir(root, recursive=True)
+        for frame in frames:
+            for file, data in zip(frame[name], frame[content]):
+                with system.open_output_stream(f"{root}/{file}") as out:
+                    out.write(data)
+            yield pd.DataFrame({"files": [len(frame)]})
+
+    written = df.select(name, content).mapInPandas(run, "files bigint")
+    return written.agg(F.sum("files")).first()[0] or 0
