@@ -6,7 +6,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow import fs
+from pyarrow import ArrowInvalid, fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +38,7 @@ def archive_members(archives: DataFrame) -> DataFrame:
                 try:
                     with _open(a.location) as z:
                         names, error = [n for n in z.namelist() if not n.endswith("/")], None
-                except zipfile.BadZipFile as bad:
+                except (zipfile.BadZipFile, ArrowInvalid) as bad:
                     names, error = [None], str(bad)
                 yield pd.DataFrame(
                     {"location": a.location, "archive": a.archive, "member": names, "error": error}
