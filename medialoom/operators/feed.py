@@ -100,51 +100,54 @@ def _nested(f: Column) -> Column:
     return F.coalesce(_filled(f["generation"]), F.get(f["generations"], 0))
 
 
-def _level(df: DataFrame, i: int, quality: str, host: str) -> DataFrame:
-    """Read level i of every post that has no url above, and find its url."""
-    v, f = F.col(f"_v{i}"), F.col(f"_f{i}")
-    df = _stage(df, **{f"_f{i}": _fields(v, quality)})
+def _level(df: DataFrame, kept: list[str], quality: str, host: str) -> DataFrame:
+    """Read the post in ``_v``; keep it in ``_hit`` if it has a url, else go one level down."""
+    f = F.col("_f")
     encoded = [
         _any(f["encodings"][q]["path"], f["encodings"][q]["url"]) for q in _order(quality)
     ]
-    df = _stage(
-        df,
-        **{
-            f"_encoded{i}": F.coalesce(*encoded),
-            f"_candidate{i}": _any(f["url"], f["video_url"], f["videoUrl"]),
-        },
+    df = df.withColumn("_f", _fields(F.col("_v"), quality)).withColumns(
+        {
+            "_encoded": F.coalesce(*encoded),
+            "_candidate": _any(f["url"], f["video_url"], f["videoUrl"]),
+        }
     )
-    candidate = F.col(f"_candidate{i}")
+    candidate = F.col("_candidate")
     usable = F.contains(candidate, F.lit(host)) | F.endswith(candidate, F.lit(".mp4"))
-    direct = F.when(F.col(f"_encoded{i}").isNull() & usable, candidate)
-    df = _stage(df, **{f"_direct{i}": direct})
-    no_url = F.col(f"_encoded{i}").isNull() & F.col(f"_direct{i}").isNull()
-    df = _stage(
-        df,
-        **{
-            f"_media{i}": F.when(
-                no_url, F.coalesce(_filled_any(f["media"]), _filled_any(f["video"]))
-            )
-        },
+    df = df.withColumn("_direct", F.when(F.col("_encoded").isNull() & usable, candidate))
+    no_url = F.col("_encoded").isNull() & F.col("_direct").isNull()
+    df = df.withColumn(
+        "_media", F.when(no_url, F.coalesce(_filled_any(f["media"]), _filled_any(f["video"])))
     )
-    media = F.col(f"_media{i}")
-    df = _stage(
-        df,
-        **{f"_object{i}": F.try_variant_get(media, "$", MEDIA), f"_item{i}": _media_item(media)},
+    media, obj, item = F.col("_media"), F.col("_object"), F.col("_item")
+    df = df.withColumns(
+        {"_object": F.try_variant_get(media, "$", MEDIA), "_item": _media_item(media)}
+    ).withColumn(
+        "_url",
+        F.coalesce(
+            "_encoded",
+            "_direct",
+            _any(obj["url"], obj["path"], obj["source"]),
+            _any(item["url"], item["path"]),
+        ),
     )
-    obj, item = F.col(f"_object{i}"), F.col(f"_item{i}")
-    df = _stage(
-        df,
-        **{
-            f"_url{i}": F.coalesce(
-                f"_encoded{i}",
-                f"_direct{i}",
-                _any(obj["url"], obj["path"], obj["source"]),
-                _any(item["url"], item["path"]),
-            )
-        },
+    hit = F.struct(
+        F.col("_url").alias("url"),
+        F.col("_v").alias("v"),
+        f.alias("f"),
+        F.col("_encoded").isNotNull().alias("by_encoding"),
+        F.col("_direct").isNotNull().alias("by_url"),
+        media.isNull().alias("no_media"),
+        obj.alias("object"),
+        item.alias("item"),
+    )
+    here = F.when(F.col("_url").isNotNull(), hit)
+    if "_hit" in df.columns:
+        here = F.coalesce(F.col("_hit"), here)
+    below = F.when(F.col("_url").isNull(), _nested(f))
+    return df.select(
+        *kept, F.inline(F.array(F.struct(here.alias("_hit"), below.alias("_v"))))
     )
-    return _stage(df, **{f"_v{i + 1}": F.when(F.col(f"_url{i}").isNull(), _nested(f))})
 
 
 def _encoding_state(f: Column, quality: str) -> Column:
@@ -196,44 +199,24 @@ def normalize_feed_posts(
     a url so far.
     """
     kept = [c for c in posts.columns if c != post]
-    df = posts.withColumnRenamed(post, "_v0")
-    levels = range(DEPTH + 1)
-    for i in levels:
-        df = _level(df, i, quality, host)
-
-    def hit(name: str) -> Column:
-        return F.coalesce(*[F.when(F.col(f"_url{i}").isNotNull(), F.col(f"_{name}{i}")) for i in levels])
-
-    df = df.select(
-        *kept,
-        F.inline(
-            F.array(
-                F.struct(
-                    hit("url").alias("video_url"),
-                    hit("v").alias("raw_post"),
-                    hit("f").alias("_f"),
-                    hit("encoded").isNotNull().alias("_by_encoding"),
-                    hit("direct").isNotNull().alias("_by_url"),
-                    hit("media").alias("_media"),
-                    hit("object").alias("_object"),
-                    hit("item").alias("_item"),
-                    (hit("url").isNull() & F.col(f"_v{DEPTH + 1}").isNotNull()).alias("deeper"),
-                )
-            )
-        ),
-    ).withColumn("found", F.col("video_url").isNotNull())
+    df = posts.withColumnRenamed(post, "_v")
+    for _ in range(DEPTH + 1):
+        df = _level(df, kept, quality, host)
+    hit = F.col("_hit")
+    df = df.withColumns(
+        {"found": hit.isNotNull(), "deeper": hit.isNull() & F.col("_v").isNotNull()}
+    )
     if not keep_without_url:
         df = df.filter("found")
-    f = F.col("_f")
+    f, obj, item = hit["f"], hit["object"], hit["item"]
     df = _stage(
         df,
         _enc=_encoding_state(f, quality),
         _user=F.coalesce(_filled(f["user"]), _filled(f["author"])),
     )
-    enc, obj, item, user = (F.col(c) for c in ("_enc", "_object", "_item", "_user"))
-    by_media = ~F.col("_by_encoding") & ~F.col("_by_url")
+    enc, user = F.col("_enc"), F.col("_user")
     # without any media the reader still takes the branch of an empty object
-    as_object = by_media & (F.col("_media").isNull() | obj.isNotNull())
+    as_object = ~hit["by_encoding"] & ~hit["by_url"] & (hit["no_media"] | obj.isNotNull())
     df = _stage(
         df,
         id=F.coalesce(
@@ -255,7 +238,9 @@ def normalize_feed_posts(
             ),
             F.lit("unknown"),
         ),
-        quality=F.when(F.col("_by_url") | as_object, F.lit("unknown")).otherwise(enc["quality"]),
+        quality=F.when(hit["by_url"] | as_object, F.lit("unknown")).otherwise(enc["quality"]),
+        video_url=hit["url"],
+        raw_post=hit["v"],
         width=F.coalesce(obj["width"], item["width"], enc["width"]),
         height=F.coalesce(obj["height"], item["height"], enc["height"]),
         duration=F.when(

@@ -102,19 +102,12 @@ def ordered_index(
         .agg(F.sort_array(F.collect_list("k")).alias("b"))
     )
 
-    def halve(low: Column, step: Column) -> Column:
-        at = F.get(F.col("_borders"), low + step - 1)
-        return F.when(at <= F.col("_key"), low + step).otherwise(low)
-
-    bucketed = (
-        df.withColumn("_key", key)
-        .withColumn("_borders", borders.scalar())
-        .withColumn(
-            BUCKET,
-            F.aggregate(F.array(*[F.lit(s) for s in RANGE_STEPS]), F.lit(0), halve),
-        )
-        .drop("_key", "_borders")
-    )
+    bucketed = df.withColumns({"_key": key, "_borders": borders.scalar(), BUCKET: F.lit(0)})
+    for step in RANGE_STEPS:  # a halving search, one generated step after the other
+        at = F.get(F.col("_borders"), F.col(BUCKET) + (step - 1))
+        further = F.when(at <= F.col("_key"), step).otherwise(0)
+        bucketed = bucketed.withColumn(BUCKET, F.col(BUCKET) + further)
+    bucketed = bucketed.drop("_key", "_borders")
     return _number(bucketed, list(order), [], index, sums or {})
 
 

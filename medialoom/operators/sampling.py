@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import archive_key, hash_number, int_div, order_hash
-from medialoom.operators.numbering import hash_index, ordered_index
+from medialoom.operators.numbering import hash_index, ordered_index, row_total
 from medialoom.operators.skew import salted_left_join
+from medialoom.session import cut_lineage
 
 
 def head_rows(df: DataFrame, n: int, order: list) -> DataFrame:
@@ -152,24 +153,15 @@ def cache_counts(rows: DataFrame, files: DataFrame) -> DataFrame:
 # --- one sample per model ---------------------------------------------------
 
 
-def sample_per_model(
-    models: DataFrame,
-    rows: DataFrame,
-    files: DataFrame,
-    key: list[str],
-    seed: object = fv.SHUFFLE_SEED,
-) -> DataFrame:
-    """``target`` rows with an existing mask for every model (id, target).
+def _slots(rows: DataFrame, files: DataFrame, key: list[str], seed: object, with_missing: bool) -> DataFrame:
+    """The valid rows with their number in the shuffle, from 0.
 
-    The rows are shuffled once and the valid ones numbered. A model starts at its own
-    position and goes on with its own stride, which shares no factor with the number
-    of rows, so it meets every valid row once before it meets one again. The work is
-    one shuffle of the rows plus the sampled rows; no model is paired with rows it
-    does not take. ``missing_before`` counts the missing rows that the shuffle holds
-    right before a valid one: what a reader of the shuffle meets on the way.
+    ``missing_before`` counts the missing rows that the shuffle holds right before a
+    valid one.
     """
-    flagged = flag_masks(rows, files, key)
-    valid_count = rows_valid(rows, files)
+    if not with_missing:
+        return hash_index(cut_lineage(valid_masks(rows, files), "valid"), key, seed, index="slot")
+    flagged = cut_lineage(flag_masks(rows, files, key), "flagged")
     numbered = hash_index(
         flagged, key, seed, index="_pos", sums={"_seen": F.col("valid").cast("bigint")}
     )
@@ -179,11 +171,33 @@ def sample_per_model(
         *rows.columns,
     )
     earlier = valid.select((F.col("slot") + 1).alias("slot"), F.col("_missing").alias("_before"))
-    slots = (
+    return (
         valid.join(earlier, "slot", "left")
         .withColumn("missing_before", F.col("_missing") - F.coalesce("_before", F.lit(0)))
         .drop("_missing", "_before")
     )
+
+
+def sample_per_model(
+    models: DataFrame,
+    rows: DataFrame,
+    files: DataFrame,
+    key: list[str],
+    seed: object = fv.SHUFFLE_SEED,
+    with_missing: bool = False,
+) -> DataFrame:
+    """``target`` rows with an existing mask for every model (id, target).
+
+    The rows are shuffled once and the valid ones numbered. A model starts at its own
+    position and goes on with its own stride, which shares no factor with the number
+    of rows, so it meets every valid row once before it meets one again. The work is
+    one shuffle of the rows plus the sampled rows; no model is paired with rows it
+    does not take. The checked rows are written once to the shared folder, because
+    counting and numbering both read them. ``with_missing`` adds what the sampling
+    report needs: how many missing rows a reader of the shuffle meets before each row.
+    """
+    slots = _slots(rows, files, key, seed, with_missing)
+    valid_count = row_total(slots.select("slot"))
     tasks = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number = hash_number(F.col("id"))
     stride = F.get(
@@ -210,14 +224,11 @@ def sample_per_model(
     return walks.select("id", "rank", slot.alias("slot")).join(slots, "slot").drop("slot")
 
 
-def rows_valid(rows: DataFrame, files: DataFrame) -> Column:
-    """Number of rows whose mask exists, as a scalar subquery."""
-    return valid_masks(rows, files).agg(F.count(F.lit(1)).alias("n")).scalar()
-
-
 def sampling_report(sample: DataFrame, models: DataFrame, missing_total: Column) -> DataFrame:
     """Per model the rows found and the missing masks met before the quota was filled.
 
+    ``sample`` is drawn with_missing.
+
     A model whose quota was not filled has read the whole shuffle, so it met them all.
     """
     taken = sample.groupBy("id").agg(

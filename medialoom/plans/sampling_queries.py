@@ -50,9 +50,9 @@ def models(t: Tables) -> DataFrame:
     return cat.classify_models(kept, "inpaint")
 
 
-def sample(t: Tables) -> DataFrame:
+def sample(t: Tables, with_missing: bool = False) -> DataFrame:
     return smp.sample_per_model(
-        models(t), t.view("segmentations"), t.view("mask_files"), ["ord"]
+        models(t), t.view("segmentations"), t.view("mask_files"), ["ord"], with_missing=with_missing
     )
 
 
@@ -111,7 +111,7 @@ from models m left join (select id, count(*) as found, sum(missing_before)::bigi
 )
 def _(t):
     missing = smp.missing_masks(t.view("segmentations"), t.view("mask_files"))
-    return smp.sampling_report(sample(t), models(t), num.row_total(missing))
+    return smp.sampling_report(sample(t, True), models(t), num.row_total(missing))
 
 
 @query(

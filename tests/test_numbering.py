@@ -142,7 +142,7 @@ def test_sample_per_model(spark):
 
 def test_sampling_report_counts_the_missing_rows_on_the_way(spark):
     data, files, models = sample_inputs(spark)
-    sample = smp.sample_per_model(models, data, files, ["ord"])
+    sample = smp.sample_per_model(models, data, files, ["ord"], with_missing=True)
     missing = num.row_total(smp.missing_masks(data, files))
     report = {r.id: r for r in smp.sampling_report(sample, models, missing).collect()}
     # brute force: walk the shuffle, each valid row with the missing rows before it
