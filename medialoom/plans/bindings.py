@@ -107,10 +107,11 @@ BINDINGS: dict[str, str] = {
                case when event_id % 5 = 3 then 'https://v.example.com/' || cast(event_id as string)
                     end as fallback_url
         from {events}""",
-    # everything seen before the 20th; two of three are known under another id
+    # of what was seen before the 20th, one of three is known; all else has another id
     "known_posts": """
         select 'reddit_' || event_type || '_' || substr(cast(ts as string), 1, 10) || '_' ||
-               case when event_id % 3 = 0 then '' else 'x' end || cast(event_id as string) ||
+               case when event_id % 3 = 0 and ts < timestamp '2024-01-20 00:00:00' then '' else 'x' end ||
+               cast(event_id as string) ||
                case event_id % 5 when 0 then '.jpg' when 1 then '.PNG' when 2 then '.jpeg'
                     else '_frame_0.jpg' end as filename,
                case when event_type = 'error' then 'real' else 'fake' end as label,
@@ -120,7 +121,7 @@ BINDINGS: dict[str, str] = {
                     else substr(cast(cast(ts as date) - 9 as string), 1, 10) end as post_date,
                cast(event_id as string) as reddit_id,
                false as packaged
-        from {events} where ts < timestamp '2024-01-20 00:00:00'""",
+        from {events}""",
     "prompt_pool": "select doc_id as id, text as prompt from {documents}",
     # five answer shapes: JSON, JSON in text, JSON with a tail, broken JSON, raw text
     "responses": """
@@ -165,15 +166,16 @@ BINDINGS: dict[str, str] = {
                case when o_orderkey % 6 = 5 then '.jpg' else '.png' end as filename,
                o_orderkey
         from {orders}""",
-    # names already written down before 1998
+    # names already written down before 1998; later ones stand in another folder
     "tracked_files": """
-        select case o_orderkey % 6 when 4 then 'img_' else 'hf_' end ||
+        select case when o_orderdate < timestamp '1998-01-01 00:00:00' then '' else 'later/' end ||
+               case o_orderkey % 6 when 4 then 'img_' else 'hf_' end ||
                'org' || cast(o_custkey % 25 as string) || '_m' || cast(o_custkey as string) ||
                case when o_orderkey % 6 = 0 then '_' || substr(cast(o_orderdate as string), 1, 10)
                     when o_orderkey % 6 = 1 then '_x' else '' end ||
                '_' || cast(o_orderkey as string) ||
                case when o_orderkey % 6 = 5 then '.jpg' else '.png' end as filename
-        from {orders} where o_orderdate < timestamp '1998-01-01 00:00:00'""",
+        from {orders}""",
     # masks that are on disk: one in sixteen has another name
     "mask_files": f"""
         select substr({LINE_KEY}, 1, 12) ||

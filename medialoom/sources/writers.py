@@ -6,11 +6,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medialoom import schemas
-from medialoom.functions import fixed_values as fv
 from medialoom.sources.readers import CSV_OPTIONS, _empty, _if_there
 
 
@@ -59,15 +58,15 @@ def _few(df: DataFrame, most: int = 100_000) -> bool:
     return df.limit(most + 1).count() <= most
 
 
-def write_prompt_shards(df: DataFrame, path: str, tasks: int | None = None) -> None:
+def write_prompt_shards(df: DataFrame, path: str) -> None:
     """Write rows by their column ``shard``, only the shards that are not there yet.
 
-    A large shard is spread over several tasks by the row itself.
+    The rebalance hint gathers the rows of a shard and splits a shard that is too
+    large for one task.
     """
     todo = unfinished(df, finished_parts(df.sparkSession, path))
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != "shard"]), F.lit(tasks or 8))
     (
-        todo.repartition("shard", spread)
+        todo.hint("rebalance", F.col("shard"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("shard")
@@ -98,10 +97,6 @@ def copy_sample(sample: DataFrame, files: DataFrame, path: str) -> DataFrame:
     return sample.join(names, "filename", "left_anti").select("filename")
 
 
-def shard_file_name(shard: Column, shards: Column) -> Column:
-    return F.format_string(fv.SHARD_NAME, shard, shards)
-
-
 def write_binary_files(df: DataFrame, folder: str, name: str, content: str) -> int:
     """One file per row on shared storage, written by the tasks; returns how many.
 
