@@ -100,6 +100,45 @@ TYPE_BASE_COUNT = 8000
 TYPE_FINE_TUNE_COUNT = 4000
 DATED_TAIL = r"_(\d{4}-\d{2}-\d{2})_\d+$"
 INDEX_TAIL = r"_\d+$"
+# texts of the best context, by tier
+CONTEXT_NARRATIVE = 'Image description: "%s"\n'
+CONTEXT_RELATIONS = "Scene relationships: %s\n"
+CONTEXT_OBJECTS = "Objects in the image: %s\n"
+CONTEXT_CLASS = "Object to replace: %s"
+RELATION_SEPARATOR = "; "
+OBJECT_SEPARATOR = ", "
+LEGACY_DESCRIPTION = "An image containing a %s"
+
+# file names
+GENERATED_NAME = "hf_%s_%s_%d.png"
+INPAINT_NAME = "inpaint_%s_%s_%d.png"
+VIDEO_FRAME_NAME = "hf_vid_%s_%s_%d_frame%d.png"
+POST_NAME = "reddit_%s_%s_%s"
+POST_FRAME_NAME = "%s_frame_%d.jpg"
+CACHE_FOLDER_PREFIX = "models--"
+ARCHIVE_FOLDER_PREFIX = "train-masks-"
+COMMIT_MESSAGE = "Add %s shards: %s to %s"
+UPLOAD_PATH = "%s/train/%s"
+
+# tasks that share a quota
+TASKS = {"Base": 10, "Fine-tune": 5, "LoRA": {"generate": 2, "inpaint": 3}}
+START_BATCH = {"image": 12, "inpaint": 4, "video": 2}
+
+# mask expansion: shares of the shorter side, limits in pixels, odds of the edge kinds
+JOB_SHARE = (0.02, 0.08)
+JOB_LEAST_PIXELS = 3
+JOB_BLURS = [3, 5, 7]
+ONCE_SHARE = (0.03, 0.10)
+ONCE_PIXELS = (5, 80)
+ONCE_HEIGHT_CHANGE = 3
+ONCE_SINGLE_ROUND = 0.8
+ONCE_SHARP = 0.4
+ONCE_SLIGHT = 0.4
+SLIGHT_BLURS = [3, 5]
+MODERATE_BLURS = [5, 7, 9]
+THRESHOLD = 127
+MODERATE_THRESHOLD = 100
+
 # primes above 2**60: no table has a row count that one of them divides
 STRIDES = [
     1152921504606847009, 1188950302860378893, 1224979101113910811, 1261007899367442683,

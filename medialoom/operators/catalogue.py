@@ -141,9 +141,9 @@ def lora_without_base(classified: DataFrame, date: str) -> DataFrame:
 def task_fanout(target: Column, variant: str = "generate") -> Column:
     """Number of tasks that share a quota."""
     return (
-        F.when(target >= fv.QUOTAS["Base"], 10)
-        .when(target >= fv.QUOTAS["Fine-tune"], 5)
-        .otherwise(3 if variant == "inpaint" else 2)
+        F.when(target >= fv.QUOTAS["Base"], fv.TASKS["Base"])
+        .when(target >= fv.QUOTAS["Fine-tune"], fv.TASKS["Fine-tune"])
+        .otherwise(fv.TASKS["LoRA"][variant])
     )
 
 

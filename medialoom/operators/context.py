@@ -12,6 +12,10 @@ from medialoom.operators.skew import lookup_join, salted_left_join
 
 # Default wording of the request; callers may pass their own template. {context}
 # and {target} are filled in for every row.
+LEAD_NARRATIVE = 'Somebody told about this photo: "%s"'
+LEAD_RELATIONS = "What can be seen in this photo: %s"
+LEAD_OBJECTS = "Things in this photo: %s"
+LEAD_CLASS = "There is a %s in this photo"
 REQUEST_TEMPLATE = (
     "{context}\n\n"
     "An inpainting model will repaint the {target} of this photo. Describe in one or two "
@@ -157,42 +161,27 @@ def _tier() -> Column:
 
 def best_context(rows: DataFrame) -> DataFrame:
     """Context text and tier: caption, else relationships, else objects, else class."""
+    relations = F.array_join("relationships", fv.RELATION_SEPARATOR)
+    objects = F.array_join("objects", fv.OBJECT_SEPARATOR)
     lead = (
-        F.when(
-            F.col("caption").isNotNull(),
-            F.concat(F.lit('Image description: "'), "caption", F.lit('"\n')),
-        )
-        .when(
-            F.col("relationships").isNotNull(),
-            F.concat(F.lit("Scene relationships: "), F.array_join("relationships", "; "), F.lit("\n")),
-        )
-        .when(
-            F.col("objects").isNotNull(),
-            F.concat(F.lit("Objects in the image: "), F.array_join("objects", ", "), F.lit("\n")),
-        )
+        F.when(F.col("caption").isNotNull(), F.format_string(fv.CONTEXT_NARRATIVE, "caption"))
+        .when(F.col("relationships").isNotNull(), F.format_string(fv.CONTEXT_RELATIONS, relations))
+        .when(F.col("objects").isNotNull(), F.format_string(fv.CONTEXT_OBJECTS, objects))
         .otherwise("")
     )
-    return rows.withColumn(
-        "context", F.concat(lead, F.lit("Object to replace: "), _target())
-    ).withColumn("tier", _tier())
+    replace = F.format_string(fv.CONTEXT_CLASS, _target())
+    return rows.withColumn("context", F.concat(lead, replace)).withColumn("tier", _tier())
 
 
 def build_user_message(rows: DataFrame, template: str = REQUEST_TEMPLATE) -> DataFrame:
     """Request text for the text model, with the same priority as best_context."""
+    relations = F.array_join("relationships", fv.RELATION_SEPARATOR)
+    objects = F.array_join("objects", fv.OBJECT_SEPARATOR)
     context = (
-        F.when(
-            F.col("caption").isNotNull(),
-            F.concat(F.lit('This photo is described as: "'), "caption", F.lit('"')),
-        )
-        .when(
-            F.col("relationships").isNotNull(),
-            F.concat(F.lit("This photo shows: "), F.array_join("relationships", "; ")),
-        )
-        .when(
-            F.col("objects").isNotNull(),
-            F.concat(F.lit("This photo contains: "), F.array_join("objects", ", ")),
-        )
-        .otherwise(F.concat(F.lit("A photo contains a "), _target()))
+        F.when(F.col("caption").isNotNull(), F.format_string(LEAD_NARRATIVE, "caption"))
+        .when(F.col("relationships").isNotNull(), F.format_string(LEAD_RELATIONS, relations))
+        .when(F.col("objects").isNotNull(), F.format_string(LEAD_OBJECTS, objects))
+        .otherwise(F.format_string(LEAD_CLASS, _target()))
     )
     before, after = template.split("{context}", 1)
     message = F.concat(

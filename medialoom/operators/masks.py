@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import hash_number
 from medialoom.operators.sampling import hash_sample
 
@@ -45,27 +46,32 @@ def dilation_parameters(
     side = F.least("height", "width")
     kernel = _choice(KERNELS, _draw(seed, "kernel", key))
     if profile == "job":
-        low, high = F.floor(side * 0.02), F.floor(side * 0.08)
-        pixels = F.greatest(F.lit(3), low + F.pmod(_draw(seed, "size", key), high - low + 1))
+        low, high = (F.floor(side * share) for share in fv.JOB_SHARE)
+        pixels = F.greatest(F.lit(fv.JOB_LEAST_PIXELS), low + F.pmod(_draw(seed, "size", key), high - low + 1))
         soft = F.pmod(_draw(seed, "soft", key), F.lit(2)) == 0
-        blur = F.when(soft, _choice([3, 5, 7], _draw(seed, "blur", key))).otherwise(0)
-        height_change, rounds, threshold = F.lit(0), F.lit(1), F.lit(127)
+        blur = F.when(soft, _choice(fv.JOB_BLURS, _draw(seed, "blur", key))).otherwise(0)
+        height_change, rounds, threshold = F.lit(0), F.lit(1), F.lit(fv.THRESHOLD)
     else:
-        share = F.lit(0.03) + F.lit(0.07) * _unit(seed, "size", key)
-        pixels = F.greatest(F.lit(5), F.least(F.floor(side * share), F.lit(80)))
-        blur, height_change, rounds, threshold = F.lit(0), F.lit(0), F.lit(1), F.lit(127)
+        least, most = fv.ONCE_SHARE
+        share = F.lit(least) + F.lit(most - least) * _unit(seed, "size", key)
+        fewest, limit = fv.ONCE_PIXELS
+        pixels = F.greatest(F.lit(fewest), F.least(F.floor(side * share), F.lit(limit)))
+        blur, height_change, rounds = F.lit(0), F.lit(0), F.lit(1)
+        threshold = F.lit(fv.THRESHOLD)
         if profile == "once":
-            height_change = F.pmod(_draw(seed, "height", key), F.lit(7)) - 3
-            rounds = F.when(_unit(seed, "rounds", key) < 0.8, 1).otherwise(2)
-            edge = _unit(seed, "edge", key)
-            slight, moderate = (edge >= 0.4) & (edge < 0.8), edge >= 0.8
+            change = fv.ONCE_HEIGHT_CHANGE
+            height_change = F.pmod(_draw(seed, "height", key), F.lit(2 * change + 1)) - change
+            rounds = F.when(_unit(seed, "rounds", key) < fv.ONCE_SINGLE_ROUND, 1).otherwise(2)
+            edge, soft_from = _unit(seed, "edge", key), fv.ONCE_SHARP + fv.ONCE_SLIGHT
+            slight = (edge >= fv.ONCE_SHARP) & (edge < soft_from)
+            moderate = edge >= soft_from
             number = _draw(seed, "blur", key)
             blur = (
-                F.when(slight, _choice([3, 5], number))
-                .when(moderate, _choice([5, 7, 9], number))
+                F.when(slight, _choice(fv.SLIGHT_BLURS, number))
+                .when(moderate, _choice(fv.MODERATE_BLURS, number))
                 .otherwise(0)
             )
-            threshold = F.when(moderate, 100).otherwise(127)
+            threshold = F.when(moderate, fv.MODERATE_THRESHOLD).otherwise(fv.THRESHOLD)
     width = pixels * 2 + 1
     return masks.withColumns(
         {
@@ -91,7 +97,7 @@ def fixed_parameters(
             "kernel_height": side,
             "rounds": F.lit(rounds),
             "blur": F.lit(blur),
-            "threshold": F.lit(127),
+            "threshold": F.lit(fv.THRESHOLD),
         }
     )
 

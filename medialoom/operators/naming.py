@@ -10,15 +10,15 @@ from medialoom.functions.columns import archive_key, safe_name
 
 
 def generated_filename(model: Column, date: Column, index: Column) -> Column:
-    return F.format_string("hf_%s_%s_%d.png", safe_name(model), date, index)
+    return F.format_string(fv.GENERATED_NAME, safe_name(model), date, index)
 
 
 def inpaint_filename(model: Column, date: Column, index: Column) -> Column:
-    return F.format_string("inpaint_%s_%s_%d.png", safe_name(model), date, index)
+    return F.format_string(fv.INPAINT_NAME, safe_name(model), date, index)
 
 
 def video_frame_filename(model: Column, date: Column, index: Column, frame: Column) -> Column:
-    return F.format_string("hf_vid_%s_%s_%d_frame%d.png", safe_name(model), date, index, frame)
+    return F.format_string(fv.VIDEO_FRAME_NAME, safe_name(model), date, index, frame)
 
 
 def inpaint_metadata_rows(
@@ -49,7 +49,7 @@ def legacy_description(rows: DataFrame) -> DataFrame:
     return rows.select(
         "image_id",
         "mask_label",
-        F.concat(F.lit("An image containing a "), "mask_label").alias("original_description"),
+        F.format_string(fv.LEGACY_DESCRIPTION, "mask_label").alias("original_description"),
         F.concat(
             "image_id", F.lit("_"), F.replace("mask_label", F.lit(" "), F.lit("_")), F.lit(".png")
         ).alias("mask_file"),

@@ -118,10 +118,10 @@ def upload_batches(
         F.max_by("name", "idx").alias("last_name"),
         F.transform(
             F.array_sort(F.collect_list(F.struct("idx", "name"))),  # n names at most
-            lambda f: F.concat(F.lit(f"{config}/train/"), f["name"]),
+            lambda f: F.format_string(fv.UPLOAD_PATH, F.lit(config), f["name"]),
         ).alias("paths"),
     )
-    message = F.format_string(f"Add {config} shards: %s to %s", "first_name", "last_name")
+    message = F.format_string(fv.COMMIT_MESSAGE, F.lit(config), "first_name", "last_name")
     return grouped.withColumn("message", message).drop("first_name", "last_name")
 
 

@@ -76,11 +76,11 @@ def route_media(posts: DataFrame) -> DataFrame:
 
 
 def post_base(source: Column, created: Column, post_id: Column) -> Column:
-    return F.format_string("reddit_%s_%s_%s", F.lower(source), day_text(created), post_id)
+    return F.format_string(fv.POST_NAME, F.lower(source), day_text(created), post_id)
 
 
 def frame_name(base: Column, frame: Column) -> Column:
-    return F.format_string("%s_frame_%d.jpg", base, frame)
+    return F.format_string(fv.POST_FRAME_NAME, base, frame)
 
 
 def post_filenames(posts: DataFrame) -> DataFrame:

@@ -120,7 +120,7 @@ def resource_tier(models: DataFrame, registry: DataFrame) -> DataFrame:
 def evictable_models(registry: DataFrame) -> DataFrame:
     """Cache folders of models that need no retry."""
     done = registry.filter(F.col("status") != fv.INFRASTRUCTURE_FAULT)
-    folder = F.concat(F.lit("models--"), F.replace("model_id", F.lit("/"), F.lit("--")))
+    folder = F.concat(F.lit(fv.CACHE_FOLDER_PREFIX), F.replace("model_id", F.lit("/"), F.lit("--")))
     return done.select("model_id", folder.alias("cache_folder"))
 
 

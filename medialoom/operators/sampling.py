@@ -124,7 +124,7 @@ def resolve_mask_path(needed: DataFrame, files: DataFrame) -> DataFrame:
     layouts = F.array(
         F.col("MaskPath"),
         F.concat_ws("/", key, "MaskPath"),
-        F.concat_ws("/", F.concat(F.lit("train-masks-"), key), "MaskPath"),
+        F.concat_ws("/", F.concat(F.lit(fv.ARCHIVE_FOLDER_PREFIX), key), "MaskPath"),
     )
     tried = needed.select("MaskPath", F.posexplode(layouts).alias("place", "path"))
     found = tried.join(files.select("path"), "path", "left_semi")

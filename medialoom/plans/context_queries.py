@@ -46,10 +46,10 @@ CONTEXT = """case when caption is not null then 'Image description: "' || captio
      else '' end || 'Object to replace: ' || target"""
 TIER = """case when caption is not null then 1 when rels is not null then 2
      when objs is not null then 3 else 4 end"""
-REQUEST = """case when caption is not null then 'This photo is described as: "' || caption || '"'
-     when rels is not null then 'This photo shows: ' || rels
-     when objs is not null then 'This photo contains: ' || objs
-     else 'A photo contains a ' || target end || replace('{}', '~', target)""".format(
+REQUEST = """case when caption is not null then 'Somebody told about this photo: "' || caption || '"'
+     when rels is not null then 'What can be seen in this photo: ' || rels
+     when objs is not null then 'Things in this photo: ' || objs
+     else 'There is a ' || target || ' in this photo' end || replace('{}', '~', target)""".format(
     ctx.REQUEST_TEMPLATE.split("{context}")[1].replace("{target}", "~").replace("'", "''")
 )
 VIEWS = "classes segmentations relationships narratives"

@@ -68,7 +68,7 @@ def test_tiers_and_messages(tables, parts):
     assert got["d.png"].context == "Objects in the image: Cat, Dog\nObject to replace: Cat"
     assert got["c.png"].context.startswith("Scene relationships: Cat r0 Dog; Cat r1 Dog")
     assert got["a.png"].context.endswith('"\nObject to replace: Cat')
-    assert got["a.png"].message.startswith('This photo is described as: "xxx')
+    assert got["a.png"].message.startswith('Somebody told about this photo: "xxx')
     assert got["d.png"].message.count("the Cat") == 2
     counts = {r.tier: r.rows for r in ctx.tier_counts(out).collect()}
     assert counts == {1: 2, 2: 1, 3: 3, 4: 1}
@@ -80,8 +80,8 @@ def test_own_template(tables):
         {c: F.lit(None).cast(k) for c, k in (("caption", "string"), ("relationships", "array<string>"), ("objects", "array<string>"))}
     )
     got = {r.MaskPath: r.message for r in ctx.build_user_message(joined, "<{target}> {context}.").collect()}
-    assert got["a.png"] == "<Cat> A photo contains a Cat."
-    assert got["g.png"] == "<object> A photo contains a object."
+    assert got["a.png"] == "<Cat> There is a Cat in this photo."
+    assert got["g.png"] == "<object> There is a object in this photo."
 
 
 def test_tier_counts_zero_filled(spark):
