@@ -15,8 +15,8 @@ from medialoom.functions import fixed_values as fv
 
 BUCKET = "_bucket"
 SHUFFLE_KEY = "_shuffle_key"
-RANGE_SAMPLE = 1023  # one less than a power of two, for the halving search
-RANGE_STEPS = [512, 256, 128, 64, 32, 16, 8, 4, 2, 1]
+RANGE_SAMPLE = 4095  # one less than a power of two, for the halving search
+RANGE_STEPS = [2**i for i in range(11, -1, -1)]
 
 
 def _number(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medialoom.functions import fixed_values as fv
@@ -26,6 +26,17 @@ def labelled_sources(ai: DataFrame, real: DataFrame) -> DataFrame:
     return both.groupBy(F.lower("source").alias("key")).agg(first).select("key", "f.*")
 
 
+def listed_sources(
+    spark: SparkSession, ai: list[str] = fv.AI_SOURCES, real: list[str] = fv.REAL_SOURCES
+) -> DataFrame:
+    """The default lists, or a caller's, as labelled sources."""
+    tables = [
+        spark.createDataFrame([(s, i) for i, s in enumerate(names)], "source string, ord int")
+        for names in (ai, real)
+    ]
+    return labelled_sources(*tables)
+
+
 def last_seen(metadata: DataFrame) -> DataFrame:
     """Newest stored day per source; dates that cannot be read are skipped."""
     day = metadata.select(

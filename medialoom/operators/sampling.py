@@ -198,20 +198,14 @@ def sample_per_model(
     """
     slots = _slots(rows, files, key, seed, with_missing)
     valid_count = row_total(slots.select("slot"))
-    tasks = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number = hash_number(F.col("id"))
-    stride = F.get(
-        F.array(*[F.lit(p).cast("bigint") for p in fv.STRIDES]),
-        F.pmod(number, F.lit(len(fv.STRIDES))).cast("int"),
-    )
     walks = (
-        models.select("id", "target")
-        .repartition(tasks, "id")
+        _spread_models(models)
         .withColumn("_n", valid_count)
         .withColumn("_take", F.least(F.col("target").cast("bigint"), "_n"))
         .filter(F.col("_take") > 0)
         .withColumn("_start", F.pmod(number, "_n"))
-        .withColumn("_stride", F.pmod(stride, "_n"))
+        .withColumn("_stride", F.pmod(_stride(number), "_n"))
         .select(
             "id",
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_take") - 1)).alias("rank"),
@@ -224,6 +218,44 @@ def sample_per_model(
     return walks.select("id", "rank", slot.alias("slot")).join(slots, "slot").drop("slot")
 
 
+def _spread_models(models: DataFrame) -> DataFrame:
+    """The models over a fixed number of tasks: few rows now, many after their ranks."""
+    tasks = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return models.select("id", "target").repartition(tasks, "id")
+
+
+def _stride(number: Column) -> Column:
+    listed = F.array(*[F.lit(p).cast("bigint") for p in fv.STRIDES])
+    return F.get(listed, F.pmod(number, F.lit(len(fv.STRIDES))).cast("int"))
+
+
+def prompts_per_model(
+    models: DataFrame, pool: DataFrame, key: list[str], seed: object = fv.SHUFFLE_SEED
+) -> DataFrame:
+    """``target`` prompts for every model (id, target), in the order of their rank.
+
+    A model reads the shuffled pool with its own stride, as in sample_per_model, and
+    starts again with another stride whenever it has read it all.
+    """
+    slots = hash_index(pool, key, seed, index="slot")
+    size = row_total(pool)
+    ranks = (
+        _spread_models(models)
+        .withColumn("_n", size)
+        .filter((F.col("_n") > 0) & (F.col("target") > 0))
+        .withColumn(
+            "rank",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("target").cast("bigint") - 1)),
+        )
+        .withColumn("round", int_div(F.col("rank"), F.col("_n")))
+        .withColumn("_number", hash_number(F.concat_ws("|", "id", "round")))
+    )
+    number = F.col("_number")
+    slot = F.pmod(number + F.pmod("rank", "_n") * F.pmod(_stride(number), "_n"), "_n")
+    drawn = ranks.select("id", "rank", "round", slot.alias("slot"))
+    return drawn.join(slots, "slot").drop("slot")
+
+
 def sampling_report(sample: DataFrame, models: DataFrame, missing_total: Column) -> DataFrame:
     """Per model the rows found and the missing masks met before the quota was filled.
 

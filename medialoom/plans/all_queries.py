@@ -4,6 +4,7 @@ from medialoom.plans import (  # noqa: F401
     catalogue_queries,
     context_queries,
     feed_queries,
+    flow_queries,
     mask_queries,
     packaging_queries,
     post_queries,
