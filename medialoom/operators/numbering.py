@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from medialoom.functions.columns import int_div, order_hash, slice_task
 from medialoom.functions import fixed_values as fv
+from medialoom.session import cut_lineage
 
 BUCKET = "_bucket"
 SHUFFLE_KEY = "_shuffle_key"
@@ -92,7 +93,8 @@ def ordered_index(
     """Position of each row in a natural order, from 0; order must be total.
 
     The bucket borders are the keys with the smallest hashes: an even sample that
-    every run finds again. The borders only steer the load, any would be right.
+    every run finds again. The borders only steer the load, any would be right. They
+    are written first, as one row, since every step of the search refers to them.
     """
     key = F.struct(*order) if len(order) > 1 else F.col(order[0])
     borders = (
@@ -102,7 +104,8 @@ def ordered_index(
         .agg(F.sort_array(F.collect_list("k")).alias("b"))
     )
 
-    bucketed = df.withColumns({"_key": key, "_borders": borders.scalar(), BUCKET: F.lit(0)})
+    found = cut_lineage(borders, "borders").scalar()
+    bucketed = df.withColumns({"_key": key, "_borders": found, BUCKET: F.lit(0)})
     for step in RANGE_STEPS:  # a halving search, one generated step after the other
         at = F.get(F.col("_borders"), F.col(BUCKET) + (step - 1))
         further = F.when(at <= F.col("_key"), step).otherwise(0)

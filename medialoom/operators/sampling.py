@@ -153,14 +153,17 @@ def cache_counts(rows: DataFrame, files: DataFrame) -> DataFrame:
 # --- one sample per model ---------------------------------------------------
 
 
-def _slots(rows: DataFrame, files: DataFrame, key: list[str], seed: object, with_missing: bool) -> DataFrame:
-    """The valid rows with their number in the shuffle, from 0.
+def _slots(
+    rows: DataFrame, files: DataFrame, key: list[str], seed: object, with_missing: bool
+) -> tuple[DataFrame, Column]:
+    """The valid rows with their number in the shuffle, from 0, and how many there are.
 
     ``missing_before`` counts the missing rows that the shuffle holds right before a
     valid one.
     """
     if not with_missing:
-        return hash_index(cut_lineage(valid_masks(rows, files), "valid"), key, seed, index="slot")
+        valid = cut_lineage(valid_masks(rows, files), "valid")
+        return hash_index(valid, key, seed, index="slot"), row_total(valid)
     flagged = cut_lineage(flag_masks(rows, files, key), "flagged")
     numbered = hash_index(
         flagged, key, seed, index="_pos", sums={"_seen": F.col("valid").cast("bigint")}
@@ -171,11 +174,12 @@ def _slots(rows: DataFrame, files: DataFrame, key: list[str], seed: object, with
         *rows.columns,
     )
     earlier = valid.select((F.col("slot") + 1).alias("slot"), F.col("_missing").alias("_before"))
-    return (
+    slots = (
         valid.join(earlier, "slot", "left")
         .withColumn("missing_before", F.col("_missing") - F.coalesce("_before", F.lit(0)))
         .drop("_missing", "_before")
     )
+    return slots, row_total(flagged.filter("valid"))
 
 
 def sample_per_model(
@@ -196,8 +200,7 @@ def sample_per_model(
     counting and numbering both read them. ``with_missing`` adds what the sampling
     report needs: how many missing rows a reader of the shuffle meets before each row.
     """
-    slots = _slots(rows, files, key, seed, with_missing)
-    valid_count = row_total(slots.select("slot"))
+    slots, valid_count = _slots(rows, files, key, seed, with_missing)
     number = hash_number(F.col("id"))
     walks = (
         _spread_models(models)

@@ -108,7 +108,7 @@ def _(t):
 @query(
     "cap_feed",
     "",
-    f"""with {VIDEOS} select event_id // {PAGE} as page_number, event_id % {PAGE} as pos, id, video_url
+    f"""with {VIDEOS} select event_id // {PAGE} as page_number, (event_id % {PAGE})::int as pos, id, video_url
 from videos order by event_id limit 50""",
 )
 def _(t):
@@ -119,7 +119,7 @@ def _(t):
 @query(
     "feed_in_order",
     "",
-    f"""with {VIDEOS} select event_id // {PAGE} as page_number, event_id % {PAGE} as pos, id, title, video_url
+    f"""with {VIDEOS} select event_id // {PAGE} as page_number, (event_id % {PAGE})::int as pos, id, title, video_url
 from videos""",
 )
 def _(t):

@@ -152,11 +152,13 @@ def _(t):
 @query(
     "mask_from_bool",
     "",
-    "select vec_id, list_transform(embedding, lambda v: case when v > 0 then 255 else 0 end) as pixels from embeddings",
+    """select vec_id, array_to_string(
+  list_transform(embedding, lambda v: case when v > 0 then 255 else 0 end), ',') as pixels from embeddings""",
 )
 def _(t):
     cells = F.transform("embedding", lambda v: v > 0)
-    return t.table("embeddings").select("vec_id", col.mask_from_bool(cells).alias("pixels"))
+    pixels = col.mask_from_bool(cells).cast("array<string>")
+    return t.table("embeddings").select("vec_id", F.array_join(pixels, ",").alias("pixels"))
 
 
 @query(

@@ -84,9 +84,10 @@ def _(t):
     return sources(t)
 
 
-@query("last_seen", VIEWS, ALL + "select key, last_day from last_days")
+@query("last_seen", VIEWS, ALL + "select key, strftime(last_day, '%Y-%m-%d') as last_day from last_days")
 def _(t):
-    return ops.last_seen(t.view("known_posts"))
+    last = ops.last_seen(t.view("known_posts"))
+    return last.select("key", col.day_text(F.col("last_day")).alias("last_day"))
 
 
 @query("source_cutoffs", VIEWS, ALL + "select key, resumed, strftime(cutoff, '%Y-%m-%d') as cutoff from cutoffs")
@@ -184,7 +185,7 @@ def _(t):
 @query(
     "frame_plan",
     "videos",
-    """select id, i as frame, least(i * greatest(1, total_frames // 15), total_frames - 1) as position
+    """select id, i::int as frame, least(i * greatest(1, total_frames // 15), total_frames - 1)::int as position
 from videos, (select unnest(range(15)) as i) where total_frames > 0""",
 )
 def _(t):
@@ -250,13 +251,13 @@ def _(t):
     "daily_source_counts",
     "posts",
     # days that the watermark (newest post less two days) has closed
-    """select date_trunc('day', created_utc)::timestamp as day, lower(source) as key, count(*) as posts
+    """select strftime(created_utc, '%Y-%m-%d') as day, lower(source) as key, count(*) as posts
 from posts group by 1, 2
-having day + interval 1 day <= (select max(created_utc) - interval 2 day from posts)""",
+having day::timestamp + interval 1 day <= (select max(created_utc) - interval 2 day from posts)""",
 )
 def _(t):
     counts = collect_stream(streams.daily_source_counts(post_stream(t)), t, "daily")
-    return counts.withColumn("day", F.col("day").cast("timestamp_ntz"))
+    return counts.withColumn("day", col.day_text(F.col("day")))
 
 
 @query(

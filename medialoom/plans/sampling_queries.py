@@ -331,7 +331,7 @@ def _(t):
     """with picks as (
   select pick, ('0x' || substr(md5('42|' || pick), 1, 8))::bigint % n as idx
   from (select unnest(range(1, 8)) as pick), (select count(*) as n from segmentations))
-select pick, MaskPath from picks join (
+select pick::int as pick, MaskPath from picks join (
   select MaskPath, row_number() over (order by ord) - 1 as idx from segmentations) using (idx)""",
 )
 def _(t):
