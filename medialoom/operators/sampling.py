@@ -127,9 +127,11 @@ def resolve_mask_path(needed: DataFrame, files: DataFrame) -> DataFrame:
         F.concat_ws("/", F.concat(F.lit(fv.ARCHIVE_FOLDER_PREFIX), key), "MaskPath"),
     )
     tried = needed.select("MaskPath", F.posexplode(layouts).alias("place", "path"))
-    found = tried.join(files.select("path"), "path", "left_semi")
-    best = found.groupBy("MaskPath").agg(F.min_by("path", "place").alias("path"))
-    return needed.join(best, "MaskPath", "left")
+    there = files.select("path", F.lit(True).alias("_there"))
+    # a place without a file has a null order, which min_by passes over
+    return tried.join(there, "path", "left").groupBy("MaskPath").agg(
+        F.min_by("path", F.when(F.col("_there"), F.col("place"))).alias("path")
+    )
 
 
 def uncached_images(rows: DataFrame, files: DataFrame) -> DataFrame:
