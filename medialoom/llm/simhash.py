@@ -164,13 +164,15 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     seats = pairs.select("tile", "other", F.col("tile").alias("seat")).union(
         pairs.where("tile <> other").select("tile", "other", F.col("other").alias("seat"))
     )
-    sent = placed.withColumnRenamed("tile", "seat").join(seats, "seat")
+    # a tile travels as one row: an array of at most a few more fingerprints than its size
+    packed = placed.groupBy(F.col("tile").alias("seat")).agg(F.collect_list("fp").alias("fps"))
+    sent = packed.join(seats, "seat")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        first = group["seat"] == group["tile"].iat[0]
-        fps = group["fp"].to_numpy().astype("<i8").view("<u8")
-        alone = group["tile"].iat[0] == group["other"].iat[0]
-        a, b = compare(fps[first], None if alone else fps[~first], radius)
+        fps = dict(zip(group["seat"], group["fps"], strict=True))
+        one, two = group["tile"].iat[0], group["other"].iat[0]
+        left, right = (np.asarray(fps[t]).astype("<i8").view("<u8") for t in (one, two))
+        a, b = compare(left, None if one == two else right, radius)
         return pd.DataFrame({"a": a.view("<i8"), "b": b.view("<i8")})
 
     return sent.groupBy("tile", "other").applyInPandas(run, "a long, b long")
