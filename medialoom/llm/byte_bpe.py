@@ -192,6 +192,7 @@ def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
             yield pd.DataFrame(
                 [codec.digest(t) for t in batch],
                 columns=["n_tokens", "ids_sha256", "decoded_sha256"],
+                dtype=object,
             )
 
     found = replace_columns(docs, {"_digest": digest(F.coalesce("text", F.lit("")))})

@@ -33,7 +33,8 @@ class Forest:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) for each node of ``links`` (a, b); a component is its smallest node.
+    """(node, component) of ``links`` (a, b): a component is its smallest node, which has no row
+    of its own.
 
     Alternating stars: every node hands its larger neighbours, then its smaller ones, to the
     smallest; rounds until the table of links stays the same, a logarithmic number. Each round

@@ -285,7 +285,8 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     @F.pandas_udf("label string, score double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame(label_texts(net, list(batch)), columns=["label", "score"])
+            rows = label_texts(net, list(batch))
+            yield pd.DataFrame(rows, columns=["label", "score"], dtype=object)
 
     found = replace_columns(docs, {"_label": label(F.coalesce("text", F.lit("")))})
     return replace_columns(

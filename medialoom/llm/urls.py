@@ -161,7 +161,7 @@ def judge(
     ranked = sorted(rules, key=lambda r: -r.length)  # stable: the first of equals
     globs = [(g, i) for i, r in enumerate(ranked) for g in r.globs]
     globs += [(g, len(ranked)) for g in blocked]
-    owner = np.array([i for _, i in globs])
+    owner = np.array([i for _, i in globs], dtype=int)
     names = [r.name for r in ranked] + [None, None]
     verdicts = [r.verdict for r in ranked] + ["block", "allow"]
 
@@ -171,9 +171,8 @@ def judge(
         for batch in batches:
             fits = automaton.fits([u.encode() for u in batch])
             best = np.where(fits, owner, len(ranked) + 1).min(axis=1, initial=len(ranked) + 1)
-            yield pd.DataFrame(
-                {"rule": [names[i] for i in best], "verdict": [verdicts[i] for i in best]}
-            )
+            rows = [(names[i], verdicts[i]) for i in best]
+            yield pd.DataFrame(rows, columns=["rule", "verdict"], dtype=object)
 
     split = replace_columns(pages, {"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     judged = replace_columns(split, {"_judged": decide(F.concat("host", "path"))})

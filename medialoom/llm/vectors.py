@@ -98,7 +98,7 @@ def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             else:
                 data = vector.tobytes()
                 rows.append((hashlib.md5(data).hexdigest(), len(vector), *encode(vector), data))
-        yield pd.DataFrame(rows, columns=CODED.names)
+        yield pd.DataFrame(rows, columns=CODED.names, dtype=object)
 
 
 class Tile:
@@ -148,7 +148,8 @@ def compare(a: Tile, b: Tile | None, threshold: float) -> pd.DataFrame:
             "node": np.concatenate([keys[low], keys[some]]),
             "other": np.concatenate([keys[high], np.full(len(some), None)]),
             "n": np.concatenate([np.zeros(len(low), np.int64), found[some].astype(np.int64)]),
-        }
+        },
+        dtype=object,
     )
 
 
@@ -177,7 +178,7 @@ def near_duplicates(
         first = group["seat"] == group["one"]
         alone = group["one"].iat[0] == group["two"].iat[0]
         if not alone and (first.all() or not first.any()):
-            return pd.DataFrame({"node": [], "other": [], "n": []}).astype({"n": "int64"})
+            return pd.DataFrame({"node": [], "other": [], "n": []}, dtype=object)
         return compare(Tile(group[first]), None if alone else Tile(group[~first]), threshold)
 
     result = sent.groupBy("width", "one", "two").applyInPandas(
