@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import safe_name, truthy
 from medialoom.operators.catalogue import release_date
-from medialoom.operators.skew import lookup_join
 
 
 def parse_generated_filename(files: DataFrame) -> DataFrame:
@@ -47,8 +46,8 @@ def match_files_to_models(files: DataFrame, registry: DataFrame) -> DataFrame:
     plain = names.select(F.col("stem").alias("plain_stem"), F.col("model").alias("_plain"))
     dated = names.select(F.col("stem").alias("dated_stem"), F.col("model").alias("_dated"))
     parsed = parse_generated_filename(files)
-    joined = lookup_join(parsed, plain, "plain_stem", ["filename"])
-    joined = lookup_join(joined, dated, "dated_stem", ["filename"])
+    joined = parsed.join(plain, "plain_stem", "left")
+    joined = joined.join(dated, "dated_stem", "left")
     return joined.withColumn("model", F.coalesce("_plain", "_dated")).withColumn(
         "date", F.when(F.col("_plain").isNull() & F.col("_dated").isNotNull(), F.col("file_date"))
     ).drop("_plain", "_dated", "plain_stem", "dated_stem", "file_date")
@@ -78,12 +77,12 @@ def infer_type_by_count(count: Column) -> Column:
     )
 
 
-def with_release_dates(rows: DataFrame, catalogue: DataFrame, spread: list[str] = ("filename",)) -> DataFrame:
+def with_release_dates(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Release date of each row's model, unknown where the catalogue has none."""
     dates = catalogue.select(
         F.col("id").alias("model"), release_date(F.col("created_at")).alias("release_date")
     )
-    joined = lookup_join(rows, dates, "model", list(spread))
+    joined = rows.join(dates, "model", "left")
     return joined.withColumn("release_date", F.coalesce("release_date", F.lit("unknown")))
 
 
@@ -104,7 +103,7 @@ def backfill_rows(
     types = images_per_model(counted_on).select(
         "model", infer_type_by_count(F.col("images")).alias("type")
     )
-    typed = with_release_dates(lookup_join(matched, types, "model", ["filename"]), catalogue)
+    typed = with_release_dates(matched.join(types, "model", "left"), catalogue)
     return typed.select(
         "filename",
         F.lit("").alias("prompt"),

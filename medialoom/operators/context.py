@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import extract_prompt
 from medialoom.operators.numbering import first_n_per_key
-from medialoom.operators.skew import lookup_join, salted_left_join
+from medialoom.operators.skew import salted_left_join
 
 # Default wording of the request; callers may pass their own template. {context}
 # and {target} are filled in for every row.
@@ -30,11 +30,9 @@ def class_lookup(classes: DataFrame) -> DataFrame:
     return classes.groupBy("LabelName").agg(F.max_by("ClassName", "ord").alias("ClassName"))
 
 
-def with_class_names(
-    segmentations: DataFrame, classes: DataFrame, spread: list[str] = ("ord",)
-) -> DataFrame:
-    """Left join of the class name; the classes are broadcast while they are few."""
-    return lookup_join(segmentations, classes, "LabelName", list(spread))
+def with_class_names(segmentations: DataFrame, classes: DataFrame) -> DataFrame:
+    """Left join of the class name."""
+    return segmentations.join(classes, "LabelName", "left")
 
 
 def relationship_triplets(relationships: DataFrame, classes: DataFrame) -> DataFrame:
@@ -46,9 +44,7 @@ def relationship_triplets(relationships: DataFrame, classes: DataFrame) -> DataF
         F.col("LabelName").alias("LabelName2"), F.col("ClassName").alias("_name2")
     )
     related = relationships.filter(F.col("RelationshipLabel").isNotNull())
-    named = lookup_join(
-        lookup_join(related, first, "LabelName1", ["ord"]), second, "LabelName2", ["ord"]
-    )
+    named = related.join(first, "LabelName1", "left").join(second, "LabelName2", "left")
     missing = F.lit(fv.MISSING_CLASS)
     return named.select(
         "ImageID",

@@ -14,7 +14,7 @@ from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import sanitize_filename, truthy
 from medialoom.session import cut_lineage
 
-DEPTH = 3  # nested generations that are followed; deeper ones are counted
+LEVELS = 4  # nested generations that are read in one step
 ZEROS = ["0", "0.0", "false"]
 
 
@@ -194,18 +194,22 @@ def normalize_feed_posts(
 ) -> DataFrame:
     """Row of every post that has a video url, from the post or a generation nested in it.
 
-    The first level with a url is the one that is read. Nested generations are
-    followed three levels down; ``deeper`` marks posts that go on below that without
-    a url so far.
+    The first level with a url is the one that is read. The number of nested generations in
+    the posts says how many levels there can be; after every few, what has been read is
+    written, and reading ends when no post goes on without a url.
     """
     kept = [c for c in posts.columns if c != post]
     df = posts.withColumnRenamed(post, "_v")
-    for _ in range(DEPTH + 1):
+    nested = F.regexp_count(F.to_json(post), F.lit('"generations?"'))
+    deepest = posts.agg(F.max(nested)).first()[0] or 0
+    for level in range(deepest + 1):
+        if level and level % LEVELS == 0:
+            df = cut_lineage(df, "feed")
+            if df.filter(F.col("_hit").isNull() & F.col("_v").isNotNull()).isEmpty():
+                break
         df = _level(df, kept, quality, host)
     hit = F.col("_hit")
-    df = df.withColumns(
-        {"found": hit.isNotNull(), "deeper": hit.isNull() & F.col("_v").isNotNull()}
-    )
+    df = df.withColumn("found", hit.isNotNull())
     if not keep_without_url:
         df = df.filter("found")
     f, obj, item = hit["f"], hit["object"], hit["item"]
@@ -247,7 +251,7 @@ def normalize_feed_posts(
             as_object, F.coalesce(obj["duration"], obj["duration_secs"], F.lit(0.0))
         ).otherwise(enc["duration"]),
     )
-    return df.select(*kept, *ROW, "found", "deeper")
+    return df.select(*kept, *ROW, "found")
 
 
 def post_key(post: Column) -> Column:
@@ -261,7 +265,7 @@ def with_detail_fallback(feed: DataFrame, detail: DataFrame, **options) -> DataF
     Only those posts are joined; the others pass through.
     """
     keyed = feed.withColumn("_key", post_key(F.col("post")))
-    rows = normalize_feed_posts(keyed, keep_without_url=True, **options)
+    rows = cut_lineage(normalize_feed_posts(keyed, keep_without_url=True, **options), "found")
     direct = rows.filter("found").drop("_key")
     lost = rows.filter(~F.col("found")).select(
         *[c for c in keyed.columns if c != "post"]
@@ -312,13 +316,10 @@ def feed_cursor_chain(pages: DataFrame) -> DataFrame:
 
     ``pages`` holds request_cursor (null for the first page), next_cursor and posts.
     The way ends at a page without a next cursor, without posts, or that was met
-    before. Every round doubles the distance that is known, so a way of n pages takes
+    before; of a page that is stored more than once one copy counts. Every round doubles the distance that is known, so a way of n pages takes
     about log2(n) rounds of joins; the rounds go on from written tables.
     """
-    full = pages.filter(F.size("posts") > 0).select(
-        F.coalesce("request_cursor", F.lit("")).alias("cursor"), "next_cursor"
-    )
-    full = cut_lineage(full, "pages")
+    full = cut_lineage(_one_copy(pages).select("cursor", "next_cursor"), "pages")
     jump = full.join(
         full.select(F.col("cursor").alias("next_cursor")).distinct(), "next_cursor", "left_semi"
     ).select("cursor", F.col("next_cursor").alias("to"))
@@ -339,11 +340,20 @@ def feed_cursor_chain(pages: DataFrame) -> DataFrame:
     return known
 
 
+def _one_copy(pages: DataFrame) -> DataFrame:
+    """Pages with posts, one per request: the copy that goes on, then the first by its hash."""
+    order = F.struct(
+        F.col("next_cursor").isNull(), "next_cursor", F.xxhash64(F.to_json("posts"))
+    )
+    best = F.min_by(F.struct("next_cursor", "posts"), order).alias("page")
+    cursor = F.coalesce("request_cursor", F.lit("")).alias("cursor")
+    return pages.filter(F.size("posts") > 0).groupBy(cursor).agg(best).select("cursor", "page.*")
+
+
 def in_feed_order(pages: DataFrame) -> DataFrame:
     """Posts of the pages on the chain with page number and place."""
     numbered = feed_cursor_chain(pages)
-    keyed = pages.withColumn("cursor", F.coalesce("request_cursor", F.lit("")))
-    joined = keyed.join(numbered, "cursor").withColumnRenamed("number", "page_number")
+    joined = _one_copy(pages).join(numbered, "cursor").withColumnRenamed("number", "page_number")
     return feed_posts(joined.select("page_number", "posts"))
 
 
@@ -372,5 +382,5 @@ def media_filename(videos: DataFrame) -> DataFrame:
 def feed_sidecars(videos: DataFrame) -> DataFrame:
     """JSON text per video, without the raw post."""
     named = media_filename(videos)
-    kept = [c for c in videos.columns if c not in ("raw_post", "found", "deeper", "page_number", "pos")]
+    kept = [c for c in videos.columns if c not in ("raw_post", "found", "page_number", "pos")]
     return named.select("sidecar_file", F.to_json(F.struct(*kept)).alias("value"))

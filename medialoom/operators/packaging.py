@@ -6,15 +6,15 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import base_name, int_div
 from medialoom.operators.numbering import fixed_shards, ordered_index, row_total
-from medialoom.sources.writers import finished_parts, unfinished
+from medialoom.session import cut_lineage
+from medialoom.sources.readers import _empty, _if_there
 
-MOST_TASKS = 50_000
 IMAGE = "struct<bytes:binary,path:string>"
 
 
@@ -183,20 +183,27 @@ def write_image_shards(
     size: int = fv.SHARD_ROWS,
     seed: object = fv.SHUFFLE_SEED,
 ) -> DataFrame:
-    """Write image shards that are not there yet; returns the plan with the shard names.
+    """Write the images that no shard holds yet, in new shards; returns the plan of these.
 
-    Shards and order are settled on the metadata alone. One task writes one shard of
+    What is packed is read from the shards themselves, so a later run on more rows packs
+    every file once. Only rows whose file exists are numbered, after the last shard that is
+    there. Shards and order are settled before any byte is read; one task writes one shard of
     ``size`` rows, reading the bytes as it goes. ``files`` holds path and location.
     """
-    plan = shard_plan(fill_optional(metadata, ["label", "subreddit", "post_date", "reddit_id"]), size, seed)
-    todo = unfinished(plan, finished_parts(metadata.sparkSession, path))
-    located = todo.join(
-        files.select(F.col("path").alias("filename"), "location"), "filename"
-    )
+    packed = packed_files(metadata.sparkSession, path)
+    rows = fill_optional(metadata, ["label", "subreddit", "post_date", "reddit_id"])
+    there = files.select(F.col("path").alias("filename"), "location")
+    fresh = rows.join(there, "filename").join(packed.select("filename"), "filename", "left_anti")
+    # written before the shards grow, since the plan is read again after them
+    last = packed.agg(F.coalesce(F.max("shard") + 1, F.lit(0)).alias("n")).scalar()
+    shards = last + int_div(row_total(fresh) + F.lit(size - 1), size)
+    plan = shard_plan(fresh, size, seed).withColumn("shard", F.col("shard") + last)
+    name = F.format_string(fv.SHARD_NAME, F.col("shard"), shards)
+    plan = cut_lineage(plan.withColumn("shard_name", name), "shards")
     # a fixed number of tasks: the rows are small but the bytes read for them are not,
     # so small partitions must not be merged
-    tasks = max(1, min(todo.select("shard").distinct().count(), MOST_TASKS))
-    ordered = located.repartition(tasks, "shard").sortWithinPartitions("shard", "idx")
+    tasks = max(1, plan.select("shard").distinct().count())
+    ordered = plan.repartition(tasks, "shard").sortWithinPartitions("shard", "idx")
     rows = attach_bytes(
         ordered.select(
             "filename", "label", "subreddit", "post_date", "reddit_id", "shard", "location"
@@ -209,7 +216,17 @@ def write_image_shards(
         .partitionBy("shard")
         .parquet(path)
     )
-    return plan
+    return plan.drop("location")
+
+
+def packed_files(spark: SparkSession, path: str) -> DataFrame:
+    """Name and shard of every image in the shards below a path."""
+    return _if_there(
+        lambda: spark.read.parquet(path).select(
+            F.col("image.path").alias("filename"), F.col("shard").cast("bigint").alias("shard")
+        ),
+        lambda: _empty(spark, "filename string, shard bigint"),
+    )
 
 
 def shard_count(df: DataFrame, size: int = fv.SHARD_ROWS) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import any_endswith, day_text, extension, parse_day
-from medialoom.operators.skew import lookup_join
 
 POST_COLUMNS = ["filename", "label", "subreddit", "post_date", "reddit_id", "packaged"]
 
@@ -68,7 +67,7 @@ def source_cutoffs(
 def with_cutoff(posts: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """Posts of listed sources with key, label and cut-off of their source."""
     keyed = posts.withColumn("key", F.lower("source"))
-    joined = lookup_join(keyed, cutoffs.drop("source"), "key", ["id"])
+    joined = keyed.join(cutoffs.drop("source"), "key", "left")
     return joined.filter(F.col("cutoff").isNotNull())
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import any_contains, day_text
-from medialoom.operators.skew import lookup_join
 
 
 def _exit_kind(code: Column) -> Column:
@@ -77,7 +76,7 @@ def before_halt(attempts: DataFrame, run: str = "run", order: list[str] = ("ts",
         .groupBy(run)
         .agg(F.min(at).alias("_halt"))
     )
-    kept = lookup_join(attempts, first, run, list(order))
+    kept = attempts.join(first, run, "left")
     return kept.filter(F.col("_halt").isNull() | (at < F.col("_halt"))).drop("_halt")
 
 
@@ -90,7 +89,7 @@ def registry_changes(attempts: DataFrame) -> DataFrame:
 
 
 def upsert_registry(old: DataFrame, changes: DataFrame) -> DataFrame:
-    """One row per model: the newest by date, then by position; changes win ties.
+    """One row per model: the newest by date; of one day a change beats the stored row.
 
     Partial maxima are taken before the shuffle, so a model with many changes is no
     heavier than another.
@@ -100,7 +99,7 @@ def upsert_registry(old: DataFrame, changes: DataFrame) -> DataFrame:
         changes.select(*cols, F.lit(1).alias("rank"))
     )
     newest = F.max_by(
-        F.struct("status", "reason", "date", "ord"), F.struct("date", "ord", "rank")
+        F.struct("status", "reason", "date", "ord"), F.struct("date", "rank", "ord")
     ).alias("r")
     return both.groupBy("model_id").agg(newest).select("model_id", "r.*")
 

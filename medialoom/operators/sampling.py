@@ -73,7 +73,7 @@ def pick_rows(
     total = df.agg(F.count(F.lit(1)).alias("n"))
     picks = total.select(
         F.explode(F.sequence(F.lit(1), F.lit(count))).alias("pick"), "n"
-    ).select("pick", F.pmod(hash_number(F.concat_ws("|", F.lit(str(seed)), "pick")), "n").alias("idx"))
+    ).select("pick", F.pmod(hash_number(F.concat_ws("|", F.lit(str(seed)), "pick"), 15), "n").alias("idx"))
     return picks.join(numbered, "idx")
 
 
@@ -203,7 +203,7 @@ def sample_per_model(
     report needs: how many missing rows a reader of the shuffle meets before each row.
     """
     slots, valid_count = _slots(rows, files, key, seed, with_missing)
-    number = hash_number(F.col("id"))
+    number = hash_number(F.col("id"), 15)
     walks = (
         _spread_models(models)
         .withColumn("_n", valid_count)
@@ -253,10 +253,10 @@ def prompts_per_model(
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("target").cast("bigint") - 1)),
         )
         .withColumn("round", int_div(F.col("rank"), F.col("_n")))
-        .withColumn("_number", hash_number(F.concat_ws("|", "id", "round")))
+        .withColumn("_number", hash_number(F.concat_ws("|", "id", "round"), 15))
     )
     number = F.col("_number")
-    slot = F.pmod(number + F.pmod("rank", "_n") * F.pmod(_stride(number), "_n"), "_n")
+    slot = F.pmod(F.pmod(number, "_n") + F.pmod("rank", "_n") * F.pmod(_stride(number), "_n"), "_n")
     drawn = ranks.select("id", "rank", "round", slot.alias("slot"))
     return drawn.join(slots, "slot").drop("slot")
 

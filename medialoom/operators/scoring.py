@@ -93,8 +93,8 @@ def adaptive_batches(
     """Call a model with batches that are halved whenever it runs out of memory.
 
     The smaller size is kept for the rest of the partition and no pending row is
-    lost. A model that cannot do one row ends the partition's work: its remaining
-    rows get the memory exit code and no output.
+    lost. A row that the model cannot do alone gets the memory exit code and no output;
+    the rows after it go on one by one.
     """
     schema = T.StructType(
         [
@@ -106,24 +106,23 @@ def adaptive_batches(
     )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, size = factory(), start
+        model, size = factory(), max(start, 1)
         for pending in micro_batches(frames, start):
             while len(pending):
-                rows = pending.iloc[: max(size, 1)].reset_index(drop=True)
-                if size == 0:
-                    yield pending.assign(
-                        **{column: None, "batch_size": 1, "exit_code": fv.EXIT_MEMORY_FAULT}
-                    )
-                    break
+                rows = pending.iloc[:size].reset_index(drop=True)
                 try:
                     output = list(model(rows))
                 except Exception as error:  # the model may raise any class
                     if not _out_of_memory(error):
                         raise
-                    size //= 2
-                    continue
+                    if size > 1:
+                        size //= 2
+                        continue
+                    output, code = [None], fv.EXIT_MEMORY_FAULT
+                else:
+                    code = fv.EXIT_OK
                 yield rows.assign(
-                    **{column: output, "batch_size": size, "exit_code": fv.EXIT_OK}
+                    **{column: output, "batch_size": size, "exit_code": code}
                 )
                 pending = pending.iloc[len(rows) :].reset_index(drop=True)
 

@@ -46,19 +46,3 @@ def salted_left_join(
         right.withColumn("_hot", hot).withColumn(SALT, F.explode(copies)).drop("_hot")
     )
     return salted.join(repeated, [key, SALT], "left").drop(SALT)
-
-
-SMALL_ROWS = 100_000
-
-
-def lookup_join(
-    left: DataFrame, right: DataFrame, key: str, spread: list[str], most: int = SMALL_ROWS
-) -> DataFrame:
-    """left ⟕ right on key for a right side with one short row per key.
-
-    The right side is counted first and broadcast only up to ``most`` rows; beyond
-    that the join is shuffled, with the hot keys of the left side spread.
-    """
-    if right.limit(most + 1).count() <= most:
-        return left.join(F.broadcast(right), key, "left")
-    return salted_left_join(left, right, key, spread)

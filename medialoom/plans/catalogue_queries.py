@@ -258,7 +258,7 @@ def _(t):
 
 UPSERTED = """upserted as (
   select model_id, status, reason, date from (
-    select *, row_number() over (partition by model_id order by date desc, ord desc, rank desc) as rn
+    select *, row_number() over (partition by model_id order by date desc, rank desc, ord desc) as rn
     from (select model_id, status, reason, date, ord, 0 as rank from registry
           union all select model_id, status, reason, date, ord, 1 from changes))
   where rn = 1)"""

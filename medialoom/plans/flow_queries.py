@@ -26,7 +26,7 @@ slots as (
   select id as prompt_id, row_number() over (order by md5('42|' || id), id) - 1 as slot, count(*) over () as n
   from prompt_pool),
 ranks as (
-  select *, rank // n as round, ('0x' || substr(md5(id || '|' || rank // n), 1, 8))::bigint as number
+  select *, rank // n as round, ('0x' || substr(md5(id || '|' || rank // n), 1, 15))::bigint as number
   from (select id, type, release_date, target, tasks, unnest(range(target)) as rank from models),
        (select max(n) as n from slots)),
 work as (

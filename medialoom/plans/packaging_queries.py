@@ -428,7 +428,7 @@ from attempts a left join catalogue_rows c on a.model_id = c.id""",
 )
 def _(t):
     rows = t.view("attempts").withColumnRenamed("model_id", "model")
-    return back.with_release_dates(rows, catalogue(t), ["seq"]).select("seq", "release_date")
+    return back.with_release_dates(rows, catalogue(t)).select("seq", "release_date")
 
 
 @query(

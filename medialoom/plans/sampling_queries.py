@@ -32,7 +32,7 @@ MODELS = f"""top as (
   select * from quotas order by downloads desc, id limit 1000),
 models as (
   select id, type, target, created_at,
-         ('0x' || substr(md5(id), 1, 8))::bigint as number
+         ('0x' || substr(md5(id), 1, 15))::bigint as number
   from top where downloads >= 30000 and weights and not {BAD['inpaint']} and id not in ({FINAL}))"""
 SAMPLE = f"""walks as (
   select id, target, unnest(range(least(target, n))) as rank, number % n as start, n,
@@ -329,7 +329,7 @@ def _(t):
     "pick_rows",
     "segmentations",
     """with picks as (
-  select pick, ('0x' || substr(md5('42|' || pick), 1, 8))::bigint % n as idx
+  select pick, ('0x' || substr(md5('42|' || pick), 1, 15))::bigint % n as idx
   from (select unnest(range(1, 8)) as pick), (select count(*) as n from segmentations))
 select pick::int as pick, MaskPath from picks join (
   select MaskPath, row_number() over (order by ord) - 1 as idx from segmentations) using (idx)""",

@@ -51,11 +51,7 @@ def finished_parts(spark: SparkSession, path: str, column: str = "shard") -> Dat
 
 def unfinished(df: DataFrame, done: DataFrame, column: str = "shard") -> DataFrame:
     """Rows whose part is not written yet."""
-    return df.join(F.broadcast(done) if _few(done) else done, column, "left_anti")
-
-
-def _few(df: DataFrame, most: int = 100_000) -> bool:
-    return df.limit(most + 1).count() <= most
+    return df.join(done, column, "left_anti")
 
 
 def write_prompt_shards(df: DataFrame, path: str) -> None:

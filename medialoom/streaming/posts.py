@@ -24,14 +24,18 @@ def stream_new_posts(
 ) -> StreamingQuery:
     """Read what has arrived, keep what is new for its source, append its metadata.
 
-    Every batch starts from the stored metadata, so a batch that is run again after
-    a failure finds its own rows there and adds nothing twice.
+    The cut-offs hold for the whole run, which ``now`` names: they are taken from the metadata
+    before its first batch and stored with the checkpoint, where a restart of the same run
+    finds them. Every batch leaves out what the stored metadata knows, so a batch that is run
+    again after a failure adds nothing twice.
     """
+    cutoffs = run_cutoffs(sources, metadata_path, checkpoint, now, days_ago)
 
     def add(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
         known = read_table(session, metadata_path, schemas.POST_METADATA)
-        append_table(ops.ingest(batch, known, sources, now, days_ago), metadata_path)
+        fresh = ops.new_posts(ops.candidates(batch, cutoffs), known)
+        append_table(ops.post_metadata_rows(fresh), metadata_path)
 
     return (
         posts.writeStream.foreachBatch(add)
@@ -41,6 +45,19 @@ def stream_new_posts(
     )
 
 
+def run_cutoffs(
+    sources: DataFrame, metadata_path: str, checkpoint: str, now: dt.datetime, days_ago: int | None
+) -> DataFrame:
+    """Cut-offs of the run that began at ``now``: one row per source, written once."""
+    session = sources.sparkSession
+    place = f"{checkpoint.rstrip('/')}/cutoffs/{now:%Y%m%dT%H%M%S}"
+    known = read_table(session, metadata_path, schemas.POST_METADATA)
+    found = ops.source_cutoffs(sources, ops.last_seen(known), now, days_ago=days_ago)
+    if read_table(session, place, found.schema).isEmpty():
+        found.write.mode("overwrite").parquet(place)
+    return read_table(session, place, found.schema)
+
+
 def dedup_stream(posts: DataFrame, horizon: str = "2 days") -> DataFrame:
     """Each post id once, with a state that forgets ids after the horizon."""
     return posts.withWatermark("created_utc", horizon).dropDuplicatesWithinWatermark(["id"])

@@ -156,3 +156,12 @@ def test_evictable_and_completed(registry):
     folders = {r.cache_folder for r in reg.evictable_models(registry).collect()}
     assert folders == {"models--a--done", "models--a--peft"}
     assert ids(reg.completed_models(registry), "model_id") == ["a/done"]
+
+
+def test_a_change_beats_the_stored_row_of_its_day(spark):
+    kind = "model_id string, status string, reason string, date string, ord bigint"
+    old = spark.createDataFrame([("m", "MODEL_FAULT", "x", "2026-01-02", 5000)], kind)
+    new = spark.createDataFrame([("m", "COMPLETED", None, "2026-01-02", 3)], kind)
+    assert reg.upsert_registry(old, new).first().status == "COMPLETED"
+    late = spark.createDataFrame([("m", "COMPLETED", None, "2026-01-01", 9000)], kind)
+    assert reg.upsert_registry(old, late).first().status == "MODEL_FAULT"

@@ -1,5 +1,3 @@
-import json
-import re
 import posixpath
 
 import pytest
@@ -13,50 +11,40 @@ def values(spark, kind, data, expression):
     return [r[0] for r in df.orderBy("i").select(expression(F.col("v"))).collect()]
 
 
-def python_prompt(response):
-    """The rule in plain Python, to compare with."""
-    try:
-        data = json.loads(response)
-        if isinstance(data, dict) and isinstance(data.get("prompt"), str) and data["prompt"]:
-            return data["prompt"].strip()
-    except ValueError:
-        pass
-    hit = re.search(r'\{[^{}]*"prompt"\s*:\s*"([^"]+)"[^{}]*\}', response)
-    return hit.group(1).strip() if hit else response.strip()
-
-
-RESPONSES = [
-    '{"prompt": " a red chair "}',
-    '{"prompt": "x", "n": 1} and more',
-    'Sure! {"prompt": "wood"} ok',
-    '{"prompt": "a \\"quoted\\" word"}',
-    "{'prompt': 'single'}",
-    '["prompt"]',
-    '{"other": "x"}',
-    "\n raw text \n",
-    '{"prompt": "a"}, {"prompt": "b"}',
-    '{"prompt": "line\\nbreak"}',
-    "{broken",
-    "",
-]
+PROMPTS = {
+    '{"prompt": " a red chair "}': "a red chair",
+    '{"prompt": "x", "n": 1} and more': "x",
+    'Sure! {"prompt": "wood"} ok': "wood",
+    '{"prompt": "a \\"quoted\\" word"}': 'a "quoted" word',
+    "{'prompt': 'single'}": "{'prompt': 'single'}",
+    '["prompt"]': '["prompt"]',
+    '{"other": "x"}': '{"other": "x"}',
+    "\n raw text \n": "raw text",
+    '{"prompt": "a"}, {"prompt": "b"}': "a",
+    '{"prompt": "line\\nbreak"}': "line\nbreak",
+    "{broken": "{broken",
+    "": "",
+}
 
 
 def test_extract_prompt(spark):
-    assert values(spark, "string", RESPONSES, col.extract_prompt) == [
-        python_prompt(r) for r in RESPONSES
-    ]
+    assert values(spark, "string", list(PROMPTS), col.extract_prompt) == list(PROMPTS.values())
 
 
-def test_sanitize_filename(spark):
-    texts = ["a/b:c", " ..x.. ", "", "...", 'q<>"|?*\\', "t\x01ab", "é" * 100, "a" * 79 + ". b"]
+FILE_NAMES = {
+    "a/b:c": "a_b_c",
+    " ..x.. ": "x",
+    "": "untitled",
+    "...": "untitled",
+    'q<>"|?*\\': "q_______",
+    "t\x01ab": "t_ab",
+    "é" * 100: "é" * 80,
+    "a" * 79 + ". b": "a" * 79,
+}
 
-    def plain(t):
-        t = re.sub(r'[<>:"/\\|?*\x00-\x1f]', "_", t).strip(". ")
-        if len(t) > 80:
-            t = t[:80].rstrip(". ")
-        return t or "untitled"
 
-    assert values(spark, "string", texts, col.sanitize_filename) == [plain(t) for t in texts]
+def test_sanitize_filename(spark):
+    assert values(spark, "string", list(FILE_NAMES), col.sanitize_filename) == list(FILE_NAMES.values())
 
 
 def test_extension_and_base_name(spark):
@@ -65,25 +53,37 @@ def test_extension_and_base_name(spark):
     assert values(spark, "string", paths, col.base_name) == [posixpath.basename(p) for p in paths]
 
 
-@pytest.mark.parametrize("total", [0, 1, 7, 14, 15, 16, 29, 30, 100])
-def test_frame_plans(spark, total):
-    step = max(1, total // 15)
-    whole = [min(i * step, total - 1) for i in range(15)] if total > 0 else []
-    even_step = max(1, total / 10.0)
-    even = [int(i * even_step) for i in range(10) if int(i * even_step) < total]
-    assert values(spark, "int", [total], col.frame_plan) == [whole]
-    assert values(spark, "int", [total], col.frame_plan_even) == [even]
+FRAMES = {
+    0: ([], []),
+    1: ([0] * 15, [0]),
+    7: ([0, 1, 2, 3, 4, 5] + [6] * 9, [0, 1, 2, 3, 4, 5, 6]),
+    14: ([*range(14), 13], [0, 1, 2, 4, 5, 7, 8, 9, 11, 12]),
+    15: ([*range(15)], [0, 1, 3, 4, 6, 7, 9, 10, 12, 13]),
+    16: ([*range(15)], [0, 1, 3, 4, 6, 8, 9, 11, 12, 14]),
+    29: ([*range(15)], [0, 2, 5, 8, 11, 14, 17, 20, 23, 26]),
+    30: ([*range(0, 30, 2)], [*range(0, 30, 3)]),
+    100: ([*range(0, 90, 6)], [*range(0, 100, 10)]),
+}
+
+
+def test_frame_plans(spark):
+    assert values(spark, "int", list(FRAMES), col.frame_plan) == [a for a, _ in FRAMES.values()]
+    assert values(spark, "int", list(FRAMES), col.frame_plan_even) == [b for _, b in FRAMES.values()]
+
+
+SLICES = {
+    (10, 3): [0, 0, 0, 1, 1, 1, 2, 2, 2, 2],
+    (2, 5): [4, 4],
+    (9, 3): [0, 0, 0, 1, 1, 1, 2, 2, 2],
+    (0, 4): [],
+    (1, 1): [0],
+}
 
 
-@pytest.mark.parametrize("n,tasks", [(10, 3), (2, 5), (9, 3), (0, 4), (1, 1)])
+@pytest.mark.parametrize("n,tasks", list(SLICES))
 def test_slice_task(spark, n, tasks):
-    per = n // tasks
-    expected = []
-    for task in range(tasks):
-        end = n if task == tasks - 1 else task * per + per
-        expected += [task] * (end - task * per)
     got = values(spark, "bigint", list(range(n)), lambda v: col.slice_task(v, F.lit(n).cast("bigint"), tasks))
-    assert got == expected
+    assert got == SLICES[n, tasks]
 
 
 def test_parse_day_skips_what_is_no_date(spark):

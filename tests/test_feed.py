@@ -39,15 +39,32 @@ def test_normalize(spark):
     assert short[5] == ("h", "http://videos.openai.com/z", 0, 0, 0, "unknown")
     assert short[8][:2] == ("deep", "x.mp4")
     assert short[9] == ("l", "v", 4, 6, 0, "unknown")
-    assert set(got) == {0, 1, 2, 3, 4, 5, 8, 9, 10, 11}
+    assert set(got) == {0, 1, 2, 3, 4, 5, 7, 8, 9, 10, 11}
     assert (got[0].prompt, got[0].creator, got[2].prompt, got[2].creator) == ("one | two", "u", "hello", "who")
     assert (got[9].creator, got[10].prompt, got[10].title, got[11].prompt) == ("w", "p", "t", "")
 
 
-def test_deeper_posts_are_reported(spark):
-    rows = feed.normalize_feed_posts(parsed(spark, POSTS), keep_without_url=True).collect()
-    assert len(rows) == len(POSTS)
-    assert {r.n for r in rows if r.deeper} == {7}
+def test_nesting_of_any_depth(spark):
+    def wrapped(depth):
+        post = {"id": f"d{depth}", "url": "x.mp4"}
+        for i in range(depth):
+            post = {"generation": post} if i % 2 else {"generations": [post]}
+        return post
+
+    posts = [wrapped(depth) for depth in (0, 1, 3, 4, 7, 13)] + [{"generation": {"id": "none"}}]
+    found = feed.normalize_feed_posts(parsed(spark, posts)).collect()
+    assert sorted(r.id for r in found) == ["d0", "d1", "d13", "d3", "d4", "d7"]
+    rows = feed.normalize_feed_posts(parsed(spark, posts), keep_without_url=True).collect()
+    assert len(rows) == len(posts) and [r.found for r in rows].count(False) == 1
+
+
+def test_repeated_pages_count_once(spark):
+    pages = [(f"c{i}" if i else None, f"c{i + 1}" if i < 19 else None, '[{"id": %d}]' % i) for i in range(20)]
+    stored = spark.createDataFrame(pages * 3, "request_cursor string, next_cursor string, body string").select(
+        "request_cursor", "next_cursor", F.parse_json("body").cast("array<variant>").alias("posts")
+    )
+    assert sorted(r.number for r in feed.feed_cursor_chain(stored).collect()) == list(range(20))
+    assert sorted(r.page_number for r in feed.in_feed_order(stored).collect()) == list(range(20))
 
 
 def test_other_quality_first(spark):
@@ -116,4 +133,4 @@ def test_detail_is_read_only_where_the_feed_has_no_url(spark):
         F.when(F.col("n") == 0, "i").otherwise("a").alias("key"), "detail"
     )
     got = {r.n: r.video_url for r in feed.with_detail_fallback(parsed(spark, POSTS), detail).collect()}
-    assert got[6] == "d.mp4" and got[0] == "http://x/a.mp4" and 7 not in got
+    assert got[6] == "d.mp4" and got[0] == "http://x/a.mp4" and 7 in got

@@ -4,6 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from medialoom.operators import context, registry
 from medialoom.operators import numbering as num
 from medialoom.operators import sampling as smp
 from medialoom.operators import skew
@@ -92,14 +93,15 @@ def test_salted_join_equals_plain_join(spark):
     assert "hot" in hot
 
 
-def test_lookup_join_beyond_the_broadcast_size(spark):
-    left = spark.range(100).select("id", (F.col("id") % 7).cast("string").alias("key"))
-    right = spark.range(5).select(F.col("id").cast("string").alias("key"), F.col("id").alias("v"))
-    small = skew.lookup_join(left, right, "key", ["id"])
-    large = skew.lookup_join(left, right, "key", ["id"], most=2)
-    plan = large._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "strategy=broadcast" not in plan
-    assert sorted(map(repr, small.select("id", "v").collect())) == sorted(map(repr, large.select("id", "v").collect()))
+def test_no_job_runs_while_a_plan_is_built(spark):
+    attempts = spark.createDataFrame([("r", 1, 0, 1)], "run string, ts int, exit_code int, seq int")
+    classes = spark.createDataFrame([("l", "c")], "LabelName string, ClassName string")
+    spark.sparkContext.setJobGroup("planning", "plans only")
+    registry.before_halt(attempts)
+    context.with_class_names(classes.select("LabelName"), classes)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
 
 
 def test_first_n_limits_before_the_shuffle(spark):

@@ -132,6 +132,23 @@ def test_image_shards_resume_and_skip_missing(spark, tmp_path):
     assert before == after and len(before) == 3
 
 
+def test_image_shards_take_new_rows_once(spark, tmp_path):
+    folder, out = tmp_path / "files", str(tmp_path / "out")
+    folder.mkdir()
+    metadata = spark.createDataFrame([(f"f{i}.jpg", "real") for i in range(47)], "filename string, label string")
+    for known in (20, 40, 40, 47):  # files that are late are packed by a later run
+        for i in range(known):
+            (folder / f"f{i}.jpg").write_bytes(bytes([i]))
+        files = readers.list_files(spark, str(folder), [".jpg"])
+        pack.write_image_shards(metadata, files, out, size=15)
+        stored = spark.read.parquet(out).select("image.path", "shard").collect()
+        assert sorted(r.path for r in stored) == sorted(f"f{i}.jpg" for i in range(known))
+    sizes = {}
+    for r in stored:
+        sizes[r.shard] = sizes.get(r.shard, 0) + 1
+    assert sizes == {0: 15, 1: 5, 2: 15, 3: 5, 4: 7}
+
+
 def test_prompt_shards_resume(spark, tmp_path):
     path = str(tmp_path / "shards")
     df = spark.range(40).select("id", (F.col("id") % 4).alias("shard"))
@@ -208,36 +225,46 @@ def test_adaptive_batches_fail_at_one(spark):
     assert len(rows) == 30 and {(r.output, r.exit_code) for r in rows} == {(None, 12)}
 
 
-# --- backfill ---------------------------------------------------------------
+def test_adaptive_batches_give_up_one_row_only(spark):
+    def poisoned():
+        def run(batch):
+            if (batch["id"] == 37).any():
+                raise RuntimeError("CUDA out of memory")
+            return [str(i) for i in batch["id"]]
 
+        return run
 
-def brute_match(name, registry):
-    import re
+    rows = scoring.adaptive_batches(spark.range(100).repartition(1), poisoned, 16).collect()
+    assert {(r.id, r.exit_code) for r in rows if r.output is None} == {(37, 12)} and len(rows) == 100
+    assert all(r.output == str(r.id) and r.exit_code == 0 for r in rows if r.id != 37)
 
-    if not name.startswith("hf_") or not name.endswith(".png"):
-        return None, None
-    stem = name[3:-4]
-    names = {m.replace("/", "_"): m for m in registry}
-    for safe in sorted(names, key=len, reverse=True):
-        if stem.startswith(safe):
-            tail = stem[len(safe):]
-            dated = re.match(r"^_(\d{4}-\d{2}-\d{2})_(\d+)$", tail)
-            if dated:
-                return names[safe], dated.group(1)
-            if re.match(r"^_(\d+)$", tail):
-                return names[safe], None
-    return None, None
+
+# --- backfill ---------------------------------------------------------------
 
 
-def test_match_against_brute_force(spark):
+MATCHES = {
+    "hf_org_m_5.png": ("org/m", None),
+    "hf_org_m_2026-04-08_5.png": ("org/m_2026-04-08", None),
+    "hf_org_m_2_7.png": ("org/m_2", None),
+    "hf_org_m_2026-04-08_2026-04-09_1.png": ("org/m_2026-04-08", "2026-04-09"),
+    "hf_org_m_x.png": (None, None),
+    "org_m_5.png": (None, None),
+    "hf_org_m_5.jpg": (None, None),
+    "hf_a_b_c_1.png": ("a_b/c", None),
+    "hf_org_m_2_x_2025-01-01_3.png": ("org/m_2/x", "2025-01-01"),
+    "hf_o_é_3.png": ("o/é", None),
+    "hf_.png": (None, None),
+    "hf_org_m_2_2.png": ("org/m_2", None),
+    "hf_org_m_2_2026-04-08_2.png": ("org/m_2", "2026-04-08"),
+}
+
+
+def test_match_files_to_models(spark):
     registry = ["org/m", "org/m_2", "org/m_2026-04-08", "a/b_c", "a_b/c", "org/m_2/x", "o/é"]
-    names = ["hf_org_m_5.png", "hf_org_m_2026-04-08_5.png", "hf_org_m_2_7.png", "hf_org_m_2026-04-08_2026-04-09_1.png",
-             "hf_org_m_x.png", "org_m_5.png", "hf_org_m_5.jpg", "hf_a_b_c_1.png", "hf_org_m_2_x_2025-01-01_3.png", "hf_o_é_3.png",
-             "hf_.png", "hf_org_m_2_2.png", "hf_org_m_2_2026-04-08_2.png"]
     reg = spark.createDataFrame([(m, i) for i, m in enumerate(registry)], "model_id string, ord bigint")
-    files = spark.createDataFrame([(n,) for n in names], "filename string")
+    files = spark.createDataFrame([(n,) for n in MATCHES], "filename string")
     got = {r.filename: (r.model, r.date) for r in back.match_files_to_models(files, reg).collect()}
-    assert got == {n: brute_match(n, registry) for n in names}
+    assert got == MATCHES
     plan = back.match_files_to_models(files, reg)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan
     assert {r.stem: r.models for r in back.name_collisions(reg).collect()} == {"a_b_c": 2}

@@ -120,6 +120,27 @@ def test_stream_equals_batch_and_survives_restarts(spark, posts, metadata, sourc
     assert sorted(map(repr, stored.collect())) == sorted(map(repr, batch.collect()))
 
 
+def test_cutoffs_hold_for_a_whole_run(spark, sources, tmp_path):
+    """Newer posts that are read first don't hide older ones, also after a restart."""
+    incoming, meta, state = folder(tmp_path), folder(tmp_path), folder(tmp_path)
+    empty = spark.createDataFrame([], schemas.POST_METADATA)
+    name = sources.select("source").first()[0]
+    days = [NOW - dt.timedelta(days=d) for d in (1, 2, 3, 4)]
+    rows = [(f"q{i}", name, t, "http://x/a.jpg") for i, t in enumerate(days)]
+    made = spark.createDataFrame(rows, "id string, source string, created_utc timestamp, url string")
+    every = made.select(*[
+        made[f.name] if f.name in made.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in spark.createDataFrame([], SCHEMA).schema
+    ])
+    for part in ("id = 'q0'", "id in ('q1', 'q2')", "id = 'q3'"):  # the second call is a restart
+        append_table(every.filter(part).coalesce(1), incoming)
+        stream = streams.file_stream(spark, incoming, SCHEMA, per_batch=1)
+        streams.stream_new_posts(stream, sources, meta, state, NOW).awaitTermination()
+    stored = read_table(spark, meta, schemas.POST_METADATA)
+    assert sorted(r.reddit_id for r in stored.collect()) == ["q0", "q1", "q2", "q3"]
+    assert stored.count() == ops.ingest(every, empty, sources, NOW).count()
+
+
 def test_dedup_stream(spark, posts, tmp_path):
     incoming, out, state = folder(tmp_path), folder(tmp_path), folder(tmp_path)
     for _ in range(2):
