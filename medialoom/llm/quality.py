@@ -75,10 +75,12 @@ def base_rules(text: Column) -> dict[str, Column]:
     filled = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(filled, "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
     words = F.regexp_extract_all(filled, F.lit(WORD), F.lit(0))
-    counts = let(
-        words,
-        lambda w: F.struct(F.size(w).alias("all"), repeated_words(w).alias("repeated")),
-    )
+
+    def judged(n: Column, repeated: Column) -> Column:
+        failed = (n < FEWEST_WORDS) | (100 * repeated > MOST_REPEATED * n)
+        return F.struct(n.alias("all"), repeated.alias("repeated"), failed.alias("failed"))
+
+    counts = let(words, lambda w: let(repeated_words(w), lambda r: judged(F.size(w), r)))
     return {
         "_counts": counts,
         "word_chars": stripped(filled, " \t\n\x0b\x0c\r").cast("long"),
@@ -166,9 +168,6 @@ def judge(
     )
     n, repeated = F.col("_counts")["all"].cast("long"), F.col("_counts")["repeated"].cast("long")
     judged = replace_columns(counted, {"n_words": n, "n_repeat_words": repeated})
-    failed = (F.col("n_words") < FEWEST_WORDS) | (
-        100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
-    )
-    judged = replace_columns(judged, {"base_failed": failed})
+    judged = replace_columns(judged, {"base_failed": F.col("_counts")["failed"]})
     passed = F.coalesce(F.col("score") >= threshold, F.lit(True))
     return replace_columns(judged, {"kept": ~F.col("base_failed") & passed}).drop("_counts", "_ratios")
