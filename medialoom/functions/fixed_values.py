@@ -138,12 +138,4 @@ SLIGHT_BLURS = [3, 5]
 MODERATE_BLURS = [5, 7, 9]
 THRESHOLD = 127
 MODERATE_THRESHOLD = 100
-
-# primes above 2**60: no table has a row count that one of them divides
-STRIDES = [
-    1152921504606847009, 1188950302860378893, 1224979101113910811, 1261007899367442683,
-    1297036697620974601, 1333065495874506481, 1369094294128038347, 1405123092381570251,
-    1441151890635102133, 1477180688888634043, 1513209487142165963, 1549238285395697959,
-    1585267083649229839, 1621295881902761699, 1657324680156293591, 1693353478409825539,
-]
 # --- end of fixed values ----------------------------------------------------

@@ -5,7 +5,7 @@ Every choice follows a hash of keys and a seed, never the partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medialoom.functions import fixed_values as fv
@@ -14,6 +14,11 @@ from medialoom.operators.numbering import hash_index, ordered_index, row_total
 from medialoom.operators.skew import salted_left_join
 from medialoom.session import cut_lineage
 
+PREFIX = 3  # hex digits of the hash by which a sample counts rows: 4096 groups
+ROUNDS = 4  # half rounds of a permutation
+WALK = 64  # steps back into the range; see permuted
+PRIME = 2**31 - 1
+
 
 def head_rows(df: DataFrame, n: int, order: list) -> DataFrame:
     """First n rows in the given order."""
@@ -36,8 +41,18 @@ def model_shuffle(df: DataFrame, key: list[str], model_id: str, index: str = "id
 
 
 def hash_sample(df: DataFrame, key: list[str], n: int, seed: object = fv.SHUFFLE_SEED) -> DataFrame:
-    """n random rows, or all if there are fewer."""
-    return hash_shuffle(df, key, seed).limit(n)
+    """n random rows, or all if there are fewer.
+
+    Rows are counted by the first digits of their hash; only those that lie below the
+    digits at which the count reaches n are shuffled and numbered, so no task merges n rows.
+    """
+    digits = F.substring(order_hash(seed, *key), 1, PREFIX)
+    counted = df.groupBy(digits.alias("digits")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
+    before = counted.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    last = before.filter(F.col("before") < n).agg(F.max("digits").alias("last")).scalar()
+    numbered = hash_index(df.filter(digits <= last), key, seed, index="_place")
+    return numbered.filter(F.col("_place") < n).drop("_place")
 
 
 def sample_label(
@@ -155,6 +170,67 @@ def cache_counts(rows: DataFrame, files: DataFrame) -> DataFrame:
 # --- one sample per model ---------------------------------------------------
 
 
+def permutation_keys(key: Column) -> Column:
+    """The numbers that make the permutation of a key: two for each half round."""
+    turns = F.sequence(F.lit(0), F.lit(2 * ROUNDS - 1))
+    return F.transform(turns, lambda i: hash_number(F.concat_ws("|", key, i), 7))
+
+
+def _shifted(value: Column, by: Column, turn: Column, size: Column, keys: Column) -> Column:
+    """``value`` moved on, round about ``size``, by a keyed square of ``by``."""
+    seed = (by + F.get(keys, 2 * turn)) % PRIME
+    return (value + seed * seed % PRIME * (F.get(keys, 2 * turn + 1) + 1) % PRIME) % size
+
+
+def _sent(place: Column, side: Column, other: Column, keys: Column) -> Column:
+    """Where the half rounds of ``permuted`` send a place, as one expression."""
+
+    def half(at: Column, turn: Column) -> Column:
+        row, column = at["row"], at["column"]
+        return F.when(
+            turn % 2 == 0,
+            F.struct(_shifted(row, column, turn, side, keys).alias("row"), column.alias("column")),
+        ).otherwise(
+            F.struct(row.alias("row"), _shifted(column, row, turn, other, keys).alias("column"))
+        )
+
+    start = F.struct(int_div(place, other).alias("row"), F.pmod(place, other).alias("column"))
+    turns = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
+    return F.aggregate(turns, start, half, lambda at: at["row"] * other + at["column"])
+
+
+def permuted(df: DataFrame, place: str, size: str, keys: str, name: str) -> DataFrame:
+    """``df`` with the number in 0..size-1 to which a permutation sends ``place``.
+
+    ``keys`` holds the permutation's numbers. Places are cells of a grid as near to a square as
+    can be. Each half round shifts a cell's row by a keyed hash of its column, or its column by
+    one of its row, so cells only change places. The grid has fewer cells too many than it has
+    rows; a place that lands on one of those goes on from there, and so comes back into the range.
+    Up to 4096 places that takes at most WALK steps; beyond, longer walks have a chance below
+    64 ** -WALK.
+    """
+    side = F.ceil(F.sqrt(F.col(size).cast("double"))).cast("bigint")
+    grid = df.withColumn("_side", side).withColumn(
+        "_other", int_div(F.col(size) + F.col("_side") - 1, F.col("_side"))
+    )
+    numbers, side, other = F.col(keys), F.col("_side"), F.col("_other")
+    row, column = F.col("_row"), F.col("_column")
+    moved = grid.withColumns({"_row": int_div(F.col(place), other), "_column": F.pmod(place, other)})
+    for turn in range(ROUNDS):  # the first time as plain columns, so that it is generated code
+        if turn % 2 == 0:
+            moved = moved.withColumn("_row", _shifted(row, column, F.lit(turn), side, numbers))
+        else:
+            moved = moved.withColumn("_column", _shifted(column, row, F.lit(turn), other, numbers))
+    first = moved.withColumn("_first", row * other + column)
+
+    def onward(at: Column, step: Column) -> Column:
+        return F.when(at < F.col(size), at).otherwise(_sent(at, side, other, numbers))
+
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.col("_first"), onward)
+    landed = F.when(F.col("_first") < F.col(size), F.col("_first")).otherwise(walked)
+    return first.withColumn(name, landed).drop("_side", "_other", "_row", "_column", "_first")
+
+
 def _slots(
     rows: DataFrame, files: DataFrame, key: list[str], seed: object, with_missing: bool
 ) -> tuple[DataFrame, Column]:
@@ -194,33 +270,29 @@ def sample_per_model(
 ) -> DataFrame:
     """``target`` rows with an existing mask for every model (id, target).
 
-    The rows are shuffled once and the valid ones numbered. A model starts at its own
-    position and goes on with its own stride, which shares no factor with the number
-    of rows, so it meets every valid row once before it meets one again. The work is
+    The rows are shuffled once and the valid ones numbered. Each model has its own
+    permutation of the numbers and takes what its first ``target`` ranks are sent to. The work is
     one shuffle of the rows plus the sampled rows; no model is paired with rows it
     does not take. The checked rows are written once to the shared folder, because
     counting and numbering both read them. ``with_missing`` adds what the sampling
     report needs: how many missing rows a reader of the shuffle meets before each row.
     """
     slots, valid_count = _slots(rows, files, key, seed, with_missing)
-    number = hash_number(F.col("id"), 15)
-    walks = (
+    ranks = (
         _spread_models(models)
         .withColumn("_n", valid_count)
         .withColumn("_take", F.least(F.col("target").cast("bigint"), "_n"))
         .filter(F.col("_take") > 0)
-        .withColumn("_start", F.pmod(number, "_n"))
-        .withColumn("_stride", F.pmod(_stride(number), "_n"))
+        .withColumn("_keys", permutation_keys(F.col("id")))  # once per model, not per rank
         .select(
             "id",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_take") - 1)).alias("rank"),
-            "_start",
-            "_stride",
             "_n",
+            "_keys",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_take") - 1)).alias("rank"),
         )
     )
-    slot = F.pmod(F.col("_start") + F.col("rank") * F.col("_stride"), "_n")
-    return walks.select("id", "rank", slot.alias("slot")).join(slots, "slot").drop("slot")
+    drawn = permuted(ranks, "rank", "_n", "_keys", "slot").select("id", "rank", "slot")
+    return drawn.join(slots, "slot").drop("slot")
 
 
 def _spread_models(models: DataFrame) -> DataFrame:
@@ -229,18 +301,13 @@ def _spread_models(models: DataFrame) -> DataFrame:
     return models.select("id", "target").repartition(tasks, "id")
 
 
-def _stride(number: Column) -> Column:
-    listed = F.array(*[F.lit(p).cast("bigint") for p in fv.STRIDES])
-    return F.get(listed, F.pmod(number, F.lit(len(fv.STRIDES))).cast("int"))
-
-
 def prompts_per_model(
     models: DataFrame, pool: DataFrame, key: list[str], seed: object = fv.SHUFFLE_SEED
 ) -> DataFrame:
     """``target`` prompts for every model (id, target), in the order of their rank.
 
-    A model reads the shuffled pool with its own stride, as in sample_per_model, and
-    starts again with another stride whenever it has read it all.
+    A model reads the shuffled pool in the order of its own permutation, as in
+    sample_per_model, and starts again with another one whenever it has read it all.
     """
     slots = hash_index(pool, key, seed, index="slot")
     size = row_total(pool)
@@ -248,17 +315,15 @@ def prompts_per_model(
         _spread_models(models)
         .withColumn("_n", size)
         .filter((F.col("_n") > 0) & (F.col("target") > 0))
-        .withColumn(
-            "rank",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("target").cast("bigint") - 1)),
-        )
-        .withColumn("round", int_div(F.col("rank"), F.col("_n")))
-        .withColumn("_number", hash_number(F.concat_ws("|", "id", "round"), 15))
+        .withColumn("_last", F.col("target").cast("bigint") - 1)
+        .withColumn("round", F.explode(F.sequence(F.lit(0).cast("bigint"), int_div(F.col("_last"), F.col("_n")))))
+        .withColumn("_keys", permutation_keys(F.concat_ws("|", "id", "round")))
+        .withColumn("_most", F.least(F.col("_n") - 1, F.col("_last") - F.col("round") * F.col("_n")))
+        .withColumn("_place", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_most"))))
+        .withColumn("rank", F.col("round") * F.col("_n") + F.col("_place"))
     )
-    number = F.col("_number")
-    slot = F.pmod(F.pmod(number, "_n") + F.pmod("rank", "_n") * F.pmod(_stride(number), "_n"), "_n")
-    drawn = ranks.select("id", "rank", "round", slot.alias("slot"))
-    return drawn.join(slots, "slot").drop("slot")
+    walked = permuted(ranks, "_place", "_n", "_keys", "slot")
+    return walked.select("id", "rank", "round", "slot").join(slots, "slot").drop("slot")
 
 
 def sampling_report(sample: DataFrame, models: DataFrame, missing_total: Column) -> DataFrame:
@@ -281,10 +346,13 @@ def sampling_report(sample: DataFrame, models: DataFrame, missing_total: Column)
     )
 
 
-def quota_shortfall(sample: DataFrame, models: DataFrame, date: str) -> DataFrame:
-    """Registry rows for models whose sample is smaller than their quota."""
-    taken = sample.groupBy("id").agg(F.count(F.lit(1)).alias("found"))
-    joined = models.select("id", "target").join(taken, "id", "left").fillna(0, ["found"])
+def quota_shortfall(models: DataFrame, rows: DataFrame, files: DataFrame, date: str) -> DataFrame:
+    """Registry rows for models whose quota is larger than the number of valid rows.
+
+    A sample holds all valid rows or the whole quota, so their number alone tells.
+    """
+    counted = models.withColumn("_n", row_total(valid_masks(rows, files)))
+    joined = counted.withColumn("found", F.least(F.col("target").cast("bigint"), "_n"))
     return joined.filter(F.col("found") < F.col("target")).select(
         F.col("id").alias("model_id"),
         F.lit(fv.INFRASTRUCTURE_FAULT).alias("status"),

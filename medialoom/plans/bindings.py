@@ -246,4 +246,4 @@ def with_views(names: str, text: str) -> str:
     """SQL for DuckDB: the named views as common table expressions, then the query."""
     tables = {t: t for t in TABLES}
     parts = [f"{n} as ({BINDINGS[n].format(**tables)})" for n in names.split()]
-    return "with " + ",\n".join(parts) + "\n" + text.strip()
+    return "with recursive " + ",\n".join(parts) + "\n" + text.strip()

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from medialoom.functions import fixed_values as fv
 from medialoom.plans import flows
 from medialoom.plans.catalogue_queries import BAD, FINAL, cat_sql, catalogue
 from medialoom.plans.packaging_queries import scores
 from medialoom.plans.registered import query
-from medialoom.plans.sampling_queries import SAMPLED, VIEWS
+from medialoom.plans.sampling_queries import SAMPLED, VIEWS, permutation
 
 DATE = "2026-04-08"
 
@@ -26,14 +25,14 @@ slots as (
   select id as prompt_id, row_number() over (order by md5('42|' || id), id) - 1 as slot, count(*) over () as n
   from prompt_pool),
 ranks as (
-  select *, rank // n as round, ('0x' || substr(md5(id || '|' || rank // n), 1, 15))::bigint as number
+  select *, rank // n as round, id || '|' || (rank // n) as key, rank % n as place
   from (select id, type, release_date, target, tasks, unnest(range(target)) as rank from models),
        (select max(n) as n from slots)),
+{permutation("select key, place, n from ranks")},
 work as (
   select r.*, s.prompt_id, least(rank // (target // tasks), tasks - 1) as task,
     'hf_' || replace(r.id, '/', '_') || '_{DATE}_' || rank || '.png' as filename
-  from ranks r join slots s on s.slot =
-    (number + rank % r.n * (({fv.STRIDES}::bigint[])[1 + number % 16] % r.n)) % r.n)"""
+  from ranks r join landed l using (key, place) join slots s on s.slot = l.slot)"""
 )
 
 

@@ -79,7 +79,7 @@ def inpaint_round(
     models = _described(catalogue, registry, "inpaint", only)
     ready = _with_parent(models)
     sample = smp.sample_per_model(ready, prompts, files, key)
-    short = smp.quota_shortfall(sample, ready, date)
+    short = smp.quota_shortfall(ready, prompts, files, date)
     filled = ready.join(short.select(F.col("model_id").alias("id")), "id", "left_anti")
     changes = _settled(catalogue, registry, models, "inpaint", date, only).unionByName(short)
     return Round(_tasked(sample, filled, "inpaint"), changes)

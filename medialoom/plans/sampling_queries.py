@@ -31,15 +31,35 @@ slots as (
 MODELS = f"""top as (
   select * from quotas order by downloads desc, id limit 1000),
 models as (
-  select id, type, target, created_at,
-         ('0x' || substr(md5(id), 1, 15))::bigint as number
+  select id, type, target, created_at
   from top where downloads >= 30000 and weights and not {BAD['inpaint']} and id not in ({FINAL}))"""
-SAMPLE = f"""walks as (
-  select id, target, unnest(range(least(target, n))) as rank, number % n as start, n,
-         ({fv.STRIDES}::bigint[])[1 + number % 16] % n as stride
-  from models, (select max(n) as n from slots)),
+
+
+def permutation(draws: str) -> str:
+    """The term ``walk`` (key, place, slot): each place of ``draws`` (key, place, n) is moved over a
+    grid by hashes of its row and column until it falls on a number below n."""
+    state = "select * exclude (slot), slot // b as r, slot % b as c from walk where step = 0 or slot >= n"
+    for turn in range(smp.ROUNDS):
+        by, to, size = ("c", "r", "a") if turn % 2 == 0 else ("r", "c", "b")
+        seed = f"(({by} + k[{2 * turn + 1}]) % {smp.PRIME})"
+        number = f"({seed} * {seed} % {smp.PRIME} * (k[{2 * turn + 2}] + 1) % {smp.PRIME})"
+        state = f"select * replace (({to} + {number}) % {size} as {to}) from ({state})"
+    return f"""draws as ({draws}),
+grid as (
+  select *, (n + a - 1) // a as b,
+    list_transform(range({2 * smp.ROUNDS}), lambda i: ('0x' || substr(md5(key || '|' || i), 1, 7))::bigint) as k
+  from (select *, ceil(sqrt(n::double))::bigint as a from draws)),
+walk(key, place, n, a, b, k, slot, step) as (
+  select key, place, n, a, b, k, place, 0 from grid
+  union all select key, place, n, a, b, k, r * b + c, step + 1 from ({state})),
+landed as (select key, place, slot from walk where step > 0 and slot < n)"""
+
+
+DRAWS = """select id as key, unnest(range(least(target, n))) as place, n
+  from models, (select max(n) as n from slots)"""
+SAMPLE = f"""{permutation(DRAWS)},
 sample as (
-  select w.id, w.rank, s.* from walks w join slots s on s.slot = (w.start + w.rank * w.stride) % w.n)"""
+  select w.key as id, w.place as rank, s.* from landed w join slots s on s.slot = w.slot)"""
 SAMPLED = cat_sql(1).rstrip() + ",\n" + ",\n".join([MODELS, NUMBERED, SAMPLE]) + "\n"
 VIEWS = "catalogue_rows registry segmentations mask_files"
 
@@ -125,8 +145,7 @@ where coalesce(found, 0) < m.target""",
 )
 def _(t):
     # suppliers are few, so that quotas run short
-    taken = smp.sample_per_model(models(t), t.view("short_rows"), t.view("mask_files"), ["ord"])
-    return smp.quota_shortfall(taken, models(t), DATE)
+    return smp.quota_shortfall(models(t), t.view("short_rows"), t.view("mask_files"), DATE)
 
 
 @query(

@@ -142,6 +142,31 @@ def test_sample_per_model(spark):
     )
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 100, 1000, 1023])
+def test_permutations_send_every_place_to_a_place_of_its_own(spark, n):
+    keys = spark.createDataFrame([("a",), ("b",)], "key string")
+    places = keys.crossJoin(spark.range(n)).withColumn("n", F.lit(n).cast("bigint"))
+    places = places.withColumn("numbers", smp.permutation_keys(F.col("key")))
+    rows = smp.permuted(places, "id", "n", "numbers", "slot").collect()
+    by_key = {k: [r.slot for r in sorted(rows, key=lambda r: r.id) if r.key == k] for k in "ab"}
+    assert all(sorted(v) == list(range(n)) for v in by_key.values())
+    if n >= 1000:
+        # the first tenth of both: a hundredth of all is shared, give or take four deviations
+        shared = len(set(by_key["a"][: n // 10]) & set(by_key["b"][: n // 10]))
+        assert abs(shared - n / 100) <= 12
+        # no common stride: steps from place to place differ
+        steps = {(y - x) % n for x, y in zip(by_key["a"], by_key["a"][1:])}
+        assert len(steps) > n / 3
+
+
+def test_hash_sample_takes_the_lowest_hashes(spark):
+    rows = spark.range(500).select(F.col("id").alias("k"))
+    for n in (0, 1, 20, 499, 500, 900):
+        got = {r.k for r in smp.hash_sample(rows, ["k"], n, 7).collect()}
+        assert got == set(sorted(range(500), key=lambda k: (md5(f"7|{k}"), str(k)))[:n])
+    assert smp.hash_sample(rows.filter("k < 0"), ["k"], 5).count() == 0
+
+
 def test_sampling_report_counts_the_missing_rows_on_the_way(spark):
     data, files, models = sample_inputs(spark)
     sample = smp.sample_per_model(models, data, files, ["ord"], with_missing=True)
@@ -157,7 +182,7 @@ def test_sampling_report_counts_the_missing_rows_on_the_way(spark):
     picked = {r.ord for r in sample.filter("id = 'org/a'").collect()}
     assert report["org/a"].missing_met == sum(before[k] for k in picked)
     assert report["org/c"].found == 160 and report["org/c"].missing_met == 40
-    short = smp.quota_shortfall(sample, models, "2026-01-01").collect()
+    short = smp.quota_shortfall(models, data, files, "2026-01-01").collect()
     assert [(r.model_id, r.status, r.reason) for r in short] == [
         ("org/c", "INFRASTRUCTURE_FAULT", "Only 160 masks available, need 500")
     ]
@@ -168,7 +193,7 @@ def test_sample_without_any_mask(spark):
     nothing = spark.createDataFrame([], "path string")
     sample = smp.sample_per_model(models, data, nothing, ["ord"])
     assert sample.count() == 0
-    assert smp.quota_shortfall(sample, models, "d").count() == 3
+    assert smp.quota_shortfall(models, data, nothing, "d").count() == 3
 
 
 def test_sample_plan_pairs_no_model_with_all_rows(spark):
