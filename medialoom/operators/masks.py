@@ -260,15 +260,12 @@ def preview_dilation(masks: DataFrame, n: int, seed: object = 42) -> DataFrame:
 
 def set_pixels(masks: DataFrame) -> DataFrame:
     """One row (path, y, x) per pixel that is not zero."""
-    hex_text = F.hex("data")
-    pixel = F.substring(hex_text, F.col("i") * 2 + 1, F.lit(2))
-    spread = masks.select(
-        "path",
-        "width",
-        "data",
-        F.explode(F.sequence(F.lit(0), F.col("height") * F.col("width") - 1)).alias("i"),
-    )
-    lit = spread.filter(pixel != "00")
+
+    @F.pandas_udf("array<int>")
+    def places(data: pd.Series) -> pd.Series:
+        return pd.Series([None if d is None else np.flatnonzero(np.frombuffer(d, np.uint8)) for d in data])
+
+    lit = masks.select("path", "width", F.explode(places("data")).alias("i"))
     return lit.select(
         "path",
         F.call_function("div", F.col("i"), F.col("width")).cast("int").alias("y"),
@@ -278,7 +275,8 @@ def set_pixels(masks: DataFrame) -> DataFrame:
 
 def blank_frames(frames: DataFrame) -> DataFrame:
     """Frames with a flag that tells whether every byte is zero."""
-    return frames.withColumn("blank", F.replace(F.hex("data"), F.lit("00"), F.lit("")) == "")
+    zeros = F.repeat(F.lit("\0"), F.octet_length("data")).cast("binary")
+    return frames.withColumn("blank", F.col("data") == zeros)
 
 
 def png_bytes(data: bytes, height: int, width: int) -> bytes:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +15,9 @@ from medialoom.operators import sampling as smp
 from medialoom.operators import scoring
 from medialoom.plans.bindings import LINE_KEY, Tables
 from medialoom.plans.registered import query
+from medialoom.session import scratch_folder
 from medialoom.sources import archives
+from medialoom.sources.writers import write_binary_files
 
 SIDE = 8  # 64 floats as a grid
 
@@ -109,7 +115,42 @@ def _(t):
     return ops.set_pixels(ops.dilate_masks(ops.dilation_parameters(masks(t, 0.25), "job")))
 
 
-@query("dilate_masks_once")
+# the other profile: kernels 11 wide and 8 to 14 high, once or twice, blurs of up to 9; a kernel's
+# centre is at half its size, and an even one reaches less far down. Row dy of an ellipse reaches
+# round(cx * sqrt(cy^2 - dy^2) / cy) to both sides. The wide blur rounds to whole grey values first
+UNDER_ONCE = """b.y - a.y >= -(d.kernel_height // 2) and b.y - a.y < d.kernel_height - d.kernel_height // 2
+    and abs(b.x - a.x) <= 5
+    and case d.kernel when 'rect' then true when 'cross' then a.y = b.y or a.x = b.x
+      else abs(b.x - a.x) <= round_even(5 * sqrt((d.kernel_height // 2) ** 2 - (b.y - a.y) ** 2) / (d.kernel_height // 2), 0) end"""
+GROWN_ONCE = f"""select a.path, a.y, a.x,
+    max(case when b.on_ = 1 and {UNDER_ONCE} then 1 else 0 end) as on_
+  from {{source}} a join drawn d on a.path = d.path and d.rounds >= {{round}}
+  join {{source}} b on a.path = b.path group by all"""
+SIGMA_9 = 0.3 * ((9 - 1) * 0.5 - 1) + 0.8
+ONCE = f"""with {PIXELS.replace('v > 0 ', '(v > 0.3)::int ')},
+drawn as ({PARAMETERS['once']}),
+first as ({GROWN_ONCE.format(source='px', round=1)}),
+second as ({GROWN_ONCE.format(source='first', round=2)}),
+grown as (
+  select * from second union all
+  select f.* from first f join drawn d on f.path = d.path where d.rounds = 1),
+nine as (select unnest(range(-4, 5)) as d),
+weights as (
+  select * from (values (0, 0, 1.0::double), (3, -1, 0.25), (3, 0, 0.5), (3, 1, 0.25),
+    (5, -2, 0.0625), (5, -1, 0.25), (5, 0, 0.375), (5, 1, 0.25), (5, 2, 0.0625),
+    (7, -3, 0.03125), (7, -2, 0.109375), (7, -1, 0.21875), (7, 0, 0.28125), (7, 1, 0.21875),
+    (7, 2, 0.109375), (7, 3, 0.03125)) w(size, d, w)
+  union all select 9, d, exp(-d * d / (2 * {SIGMA_9} ** 2)) / sum(exp(-d * d / (2 * {SIGMA_9} ** 2))) over () from nine),
+mirrored as (
+  select g.path, g.y, g.x, wy.w * wx.w as w, d.threshold,
+    7 - abs(7 - abs(g.y + wy.d)) as sy, 7 - abs(7 - abs(g.x + wx.d)) as sx
+  from grown g join drawn d on g.path = d.path
+  join weights wy on wy.size = d.blur join weights wx on wx.size = d.blur)
+select m.path, m.y, m.x from mirrored m join grown s on s.path = m.path and s.y = m.sy and s.x = m.sx
+group by m.path, m.y, m.x, m.threshold having floor(sum(m.w * s.on_) * 255 + 0.5) > m.threshold"""
+
+
+@query("dilate_masks_once", "", ONCE)
 def _(t):
     return ops.set_pixels(ops.dilate_masks(ops.dilation_parameters(masks(t, 0.3), "once")))
 
@@ -178,7 +219,20 @@ def _(t):
     return ops.blank_frames(data).select("path", "blank")
 
 
-@query("preview_dilation")
+# twenty masks by hash, each with a kernel of 11 by 11, which reaches five to every side
+PREVIEW = f"""with {PIXELS.replace('v > 0 ', '(v > 0)::int ')},
+chosen as (
+  select 'm' || vec_id as path from embeddings order by md5('42|m' || vec_id), path limit 20),
+drawn as (
+  select path, ['ellipse', 'rect', 'cross'][1 + {number('kernel')} % 3] as kernel, 11 as kernel_height,
+    1 as rounds from chosen),
+first as ({GROWN_ONCE.format(source='px', round=1)})
+select f.path, string_agg(case when p.on_ = 1 then 'FF' else '00' end, '' order by f.y, f.x) as before,
+  string_agg(case when f.on_ = 1 then 'FF' else '00' end, '' order by f.y, f.x) as after
+from first f join px p on f.path = p.path and f.y = p.y and f.x = p.x group by f.path"""
+
+
+@query("preview_dilation", "", PREVIEW)
 def _(t):
     shown = ops.preview_dilation(masks(t), 20)
     return shown.select("path", F.hex("before").alias("before"), F.hex("after").alias("after"))
@@ -231,3 +285,60 @@ select MaskPath from segmentations intersect select member from members""",
 )
 def _(t):
     return archives.found_members(t.sql(MEMBERS), t.view("segmentations"))
+
+
+# zip files of two hundred texts each: one text in fifty is damaged, one file in three is cut short
+PER_ARCHIVE = 200
+
+
+def zipped(t: Tables) -> DataFrame:
+    """Archives with their bytes, built from the embeddings."""
+    bits = F.transform("embedding", lambda x: F.when(x > 0, "1").otherwise("0"))
+    number = col.int_div(F.col("vec_id"), PER_ARCHIVE)
+    texts = t.table("embeddings").select(
+        "vec_id", number.alias("number"), F.array_join(bits, "").alias("body")
+    )
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        held, number = io.BytesIO(), int(rows["number"].iat[0])
+        with zipfile.ZipFile(held, "w") as z:
+            for r in rows.sort_values("vec_id").itertuples(index=False):
+                z.writestr(f"m{r.vec_id}.txt", r.body)
+        data = bytearray(held.getvalue())
+        with zipfile.ZipFile(io.BytesIO(bytes(data))) as z:
+            for info in z.infolist():
+                if int(info.filename[1:-4]) % 50 == 8:  # the first stored byte is another
+                    data[info.header_offset + 30 + len(info.filename)] ^= 1
+        content = bytes(data[:-30]) if number % 3 == 1 else bytes(data)
+        return pd.DataFrame({"archive": [f"a{number}.zip"], "content": [content]})
+
+    return texts.groupBy("number").applyInPandas(pack, "archive string, content binary")
+
+
+@query(
+    "extract_archive_members",
+    "",
+    f"""with m as (
+  select 'a' || (vec_id // {PER_ARCHIVE}) || '.zip' as archive, 'm' || vec_id || '.txt' as member,
+    array_to_string(list_transform(embedding, lambda v: case when v > 0 then '1' else '0' end), '') as body,
+    (vec_id // {PER_ARCHIVE}) % 3 = 1 as unreadable, vec_id % 50 = 8 as damaged, vec_id % 2 = 0 as wanted
+  from embeddings)
+select archive, member, case when not damaged then body end as body, damaged as failed
+from m where wanted and not unreadable
+union all select distinct archive, null, null, true from m where unreadable""",
+)
+def _(t):
+    folder = scratch_folder(t.spark, "archives")
+    write_binary_files(zipped(t), folder, "archive", "content")
+    wanted = t.sql(
+        "select 'm' || cast(vec_id as string) || case when vec_id % 2 = 0 then '.txt' else '.none' end "
+        "as MaskPath from {embeddings}"
+    )
+    content, failed = archives.extract_archive_members(archives.list_archives(t.spark, folder), wanted)
+    read = content.select(
+        "archive", F.col("path").alias("member"), F.col("content").cast("string").alias("body"),
+        F.lit(False).alias("failed"),
+    )
+    return read.unionByName(
+        failed.select("archive", "member", F.lit(None).cast("string").alias("body"), F.lit(True).alias("failed"))
+    )

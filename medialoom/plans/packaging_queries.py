@@ -122,14 +122,25 @@ def batch_number():
     return count
 
 
-@query("micro_batches")
+@query(
+    "micro_batches",
+    "prompt_pool",
+    "select count(*) as rows, 0 as early_short, false as any_larger from prompt_pool",
+)
 def _(t):
-    """Rows of each batch of 32, per task."""
+    """Batches of 32: all rows are in one, and only the last of a task has fewer."""
+    from pyspark.sql import Window
     from pyspark.sql import types as T
 
     rows = t.view("prompt_pool").select("id", F.spark_partition_id().alias("task"))
     batched = scoring.call_in_batches(rows, batch_number, "batch", T.LongType(), 32)
-    return batched.groupBy("task", "batch").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = batched.groupBy("task", "batch").agg(F.count(F.lit(1)).alias("rows"))
+    last = F.max("batch").over(Window.partitionBy("task"))
+    return sizes.withColumn("last", last).agg(
+        F.sum("rows").alias("rows"),
+        F.count_if((F.col("rows") < 32) & (F.col("batch") < F.col("last"))).alias("early_short"),
+        F.bool_or(F.col("rows") > 32).alias("any_larger"),
+    )
 
 
 # --- packaging --------------------------------------------------------------

@@ -251,7 +251,7 @@ def _(t):
     objects = t.view("registry").groupBy(part.alias("part")).agg(
         F.concat(F.lit("{"), F.array_join(F.collect_list(member), ", "), F.lit("}")).alias("value")
     )
-    objects.repartitionByRange(8, "part").write.option("maxRecordsPerFile", 1).partitionBy("part").text(path)
+    objects.repartitionByRange("part").write.option("maxRecordsPerFile", 1).partitionBy("part").text(path)
     return readers.read_registry(t.spark, path).drop("ord")
 
 
@@ -311,7 +311,7 @@ def _(t):
     ).agg(F.array_sort(F.collect_list(F.struct("event_id", "body"))).alias("rows"))
     listed = F.array_join(F.transform("rows", lambda r: r["body"]), ", ")
     body = F.concat(F.lit('{"items": ['), listed, F.lit("]}"))
-    grouped.select("page", body.alias("value")).repartition(8, "page").write.partitionBy("page").text(path)
+    grouped.select("page", body.alias("value")).repartition("page").write.partitionBy("page").text(path)
     stored = fq.feed.extract_feed_pages(readers.read_feed_pages(t.spark, path))
     rows = fq.feed.normalize_feed_posts(fq.feed.feed_posts(stored))
     page = F.regexp_extract("path", r"page=(\d+)", 1).cast("bigint")
@@ -326,7 +326,7 @@ def _(t):
 def _(t):
     # a file per source, listed by extension without reading it
     path = scratch_folder(t.spark, "listed")
-    t.table("documents").repartition(8, "source").write.partitionBy("source").parquet(path)
+    t.table("documents").select("source").distinct().withColumn("name", F.col("source")).repartition("source").write.partitionBy("source").parquet(path)
     found = readers.list_files(t.spark, path, [".PARQUET"], ignore_case=True)
     return found.groupBy(col.extension(F.col("path")).alias("extension")).agg(
         F.count(F.lit(1)).alias("files")
@@ -342,7 +342,7 @@ def _(t):
     path = scratch_folder(t.spark, "tracker")
     names = t.sql("select doc_id div 100 as part, 'f' || cast(doc_id as string) || '.png' as name from {labels}")
     arrays = names.groupBy("part").agg(F.to_json(F.collect_list("name")).alias("value"))
-    arrays.repartitionByRange(8, "part").write.partitionBy("part").text(path)
+    arrays.repartitionByRange("part").write.partitionBy("part").text(path)
     return readers.read_upload_tracker(t.spark, path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,8 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medialoom.functions.columns import base_name
+from medialoom.session import cut_lineage
 
 PIECES = 64  # an archive is read by up to this many tasks
+BATCH_BYTES = 16 * 2**20  # contents that leave a task together
+READ = ["archive", "path", "content", "error"]
+#: What a damaged member raises: a bad header or check sum, a broken or unknown compression.
+DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 
 
 def list_archives(spark: SparkSession, folder: str, pattern: str = "*.zip") -> DataFrame:
@@ -44,8 +50,7 @@ def archive_members(archives: DataFrame) -> DataFrame:
                     {"location": a.location, "archive": a.archive, "member": names, "error": error}
                 )
 
-    spread = archives.repartition(max(1, min(archives.count(), 10_000)), "location")
-    return spread.mapInPandas(run, "location string, archive string, member string, error string")
+    return archives.repartition("location").mapInPandas(run, "location string, archive string, member string, error string")
 
 
 def needed_in_archive(members: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -69,18 +74,20 @@ def found_members(members: DataFrame, wanted: DataFrame) -> DataFrame:
 def extract_archive_members(
     archives: DataFrame, wanted: DataFrame, pieces: int = PIECES
 ) -> tuple[DataFrame, DataFrame]:
-    """Content of the wanted members, and the archives that could not be read.
+    """Content of the wanted members, and what could not be read: (archive, member, error).
 
     The members are chosen from the tables of contents. Each archive is then read in
-    pieces, so that one that holds most of the members is the work of many tasks.
+    pieces, so that one that holds most of the members is the work of many tasks. A
+    damaged member has an error instead of content; an archive without a readable table
+    of contents has an error and no member. What is read is written to the shared folder,
+    because both results come from it.
     """
     members = archive_members(archives)
     chosen = needed_in_archive(members, wanted).select("location", "archive", "member")
     piece = F.pmod(F.xxhash64("member"), F.lit(pieces)).cast("int")
-    tasks = max(1, min(archives.count() * pieces, 50_000))
     spread = (
         chosen.withColumn("piece", piece)
-        .repartition(tasks, "location", "piece")
+        .repartition("location", "piece")
         .sortWithinPartitions("location", "member")
         .drop("piece")
     )
@@ -88,17 +95,31 @@ def extract_archive_members(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         opened, place = None, None
         for frame in frames:
+            held, size = [], 0
             for m in frame.itertuples(index=False):
                 if m.location != place:
                     if opened:
                         opened.close()
                     opened, place = _open(m.location), m.location
-                yield pd.DataFrame(
-                    {"archive": [m.archive], "path": [m.member], "content": [opened.read(m.member)]}
-                )
+                try:
+                    content, error = opened.read(m.member), None
+                except DAMAGE as bad:
+                    content, error = None, str(bad)
+                held.append((m.archive, m.member, content, error))
+                size += len(content or b"")
+                if size >= BATCH_BYTES:
+                    yield pd.DataFrame(held, columns=READ, dtype=object)
+                    held, size = [], 0
+            if held:
+                yield pd.DataFrame(held, columns=READ, dtype=object)
         if opened:
             opened.close()
 
-    content = spread.mapInPandas(run, "archive string, path string, content binary")
-    broken = members.filter(F.col("error").isNotNull()).select("archive", "error")
-    return content, broken
+    kinds = "archive string, path string, content binary, error string"
+    read = cut_lineage(spread.mapInPandas(run, kinds), "members")
+    content = read.filter(F.col("error").isNull()).select("archive", "path", "content")
+    damaged = read.filter(F.col("error").isNotNull()).select(
+        "archive", F.col("path").alias("member"), "error"
+    )
+    unread = members.filter(F.col("error").isNotNull()).select("archive", "member", "error")
+    return content, unread.unionByName(damaged)

@@ -11,6 +11,8 @@ from medialoom.functions.columns import base_name
 
 # Texts as Python's csv module writes them: quotes doubled, line breaks inside quotes.
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+# The annotation tables hold no line breaks, so a large file is read by many tasks.
+LINE_OPTIONS = {**CSV_OPTIONS, "multiLine": False}
 
 
 def _if_there(read, empty) -> DataFrame:
@@ -94,12 +96,12 @@ def read_prompt_shards(spark: SparkSession, pattern: str) -> DataFrame:
 
 def read_classes(spark: SparkSession, path: str) -> DataFrame:
     """Label and class name of a CSV without a header, with the file order."""
-    return with_file_order(read_csv(spark, path, schemas.CLASSES, header=False))
+    return with_file_order(read_csv(spark, path, schemas.CLASSES, header=False, multiLine=False))
 
 
 def read_segmentations(spark: SparkSession, path: str) -> DataFrame:
     """The three used columns of the segmentation table, with the file order."""
-    table = spark.read.options(**CSV_OPTIONS).csv(path)
+    table = spark.read.options(**LINE_OPTIONS).csv(path)
     return with_file_order(table).select("ImageID", "MaskPath", "LabelName", "ord")
 
 
@@ -108,7 +110,7 @@ def read_relationships(spark: SparkSession, path: str) -> DataFrame:
     empty = "ImageID string, LabelName1 string, LabelName2 string, RelationshipLabel string, ord struct<file:string,block:bigint,row:bigint>"
 
     def read() -> DataFrame:
-        table = spark.read.options(**CSV_OPTIONS).csv(path)
+        table = spark.read.options(**LINE_OPTIONS).csv(path)
         if "RelationshipLabel" not in table.columns:
             table = table.withColumnRenamed("RelationLabel", "RelationshipLabel")
         return with_file_order(table).select(

@@ -100,12 +100,22 @@ def test_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "train-masks-b.zip", "w") as z:
         z.writestr("b0.png", b"zero")
     (tmp_path / "train-masks-c.zip").write_bytes(b"corrupt")
-    wanted = spark.createDataFrame([(f"a{i}.png",) for i in range(0, 30, 2)] + [("b0.png",), ("c.png",)], "MaskPath string")
+    with zipfile.ZipFile(tmp_path / "train-masks-d.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("d0.png", b"fine")
+        z.writestr("d1.png", bytes(range(256)) * 9)
+    with zipfile.ZipFile(tmp_path / "train-masks-d.zip") as z:
+        start = z.getinfo("d1.png").header_offset + 30 + len("d1.png")
+    spoiled = bytearray((tmp_path / "train-masks-d.zip").read_bytes())
+    spoiled[start : start + 20] = b"\xff" * 20
+    (tmp_path / "train-masks-d.zip").write_bytes(bytes(spoiled))
+    wanted = spark.createDataFrame([(f"a{i}.png",) for i in range(0, 30, 2)] + [("b0.png",), ("c.png",), ("d0.png",), ("d1.png",)], "MaskPath string")
     listed = archives.list_archives(spark, str(tmp_path))
     content, broken = archives.extract_archive_members(listed, wanted, pieces=4)
     got = {r.path: bytes(r.content) for r in content.collect()}
-    assert got == {**{f"a{i}.png": bytes([i]) for i in range(0, 30, 2)}, "b0.png": b"zero"}
-    assert [r.archive for r in broken.collect()] == ["train-masks-c.zip"]
+    assert got == {**{f"a{i}.png": bytes([i]) for i in range(0, 30, 2)}, "b0.png": b"zero", "d0.png": b"fine"}
+    assert sorted((r.archive, r.member) for r in broken.collect()) == [
+        ("train-masks-c.zip", None), ("train-masks-d.zip", "d1.png"),
+    ]
     members = archives.archive_members(listed)
     assert [r.MaskPath for r in archives.not_found(members, wanted).collect()] == ["c.png"]
 
