@@ -136,10 +136,13 @@ def join_context(
     relationships: DataFrame,
     scenes: DataFrame,
     spread: list[str] = ("ord",),
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Attach caption, relationships and objects by image; hot images are spread."""
+    """Attach caption, relationships and objects by image; hot images are spread.
+
+    ``counted`` is the table that ``rows`` was made from, if there is one to count images on."""
     context = image_context(narratives, relationships, scenes)
-    return salted_left_join(rows, context, "ImageID", list(spread))
+    return salted_left_join(rows, context, "ImageID", list(spread), counted=counted)
 
 
 def _target() -> Column:
@@ -215,6 +218,7 @@ def prompt_requests(
         first_narrative(narratives),
         relationships_per_image(relationship_triplets(relationships, lookup)),
         scene_objects(segmentations, lookup),
+        counted=rows,
     )
     return build_user_message(best_context(joined))
 

@@ -5,44 +5,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 64  # at most this many keys are spread
-TRACKED = 4096  # counters of the frequency sketch
-HOT_SHARE = 1.0 / 200.0  # a key is hot from this share of all rows
+HOT_KEYS = 1024  # the sketch names at most this many keys
+TRACKED = 16_384  # counters of the frequency sketch
+ROWS_PER_TASK = 1 << 20  # a key with more rows is spread, over as many tasks as that makes
 SALT = "_salt"
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> Column:
-    """Array of the hot keys, as a scalar subquery over one narrow counting pass.
+def salts_of(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Column:
+    """Map from each hot key to its number of tasks, as a scalar subquery over one narrow pass.
 
-    The sketch has a fixed size and is merged from partial sketches. It only
-    decides which keys are spread; the join is exact whatever it says.
+    A key is hot if it has more rows than one task should join, so both the choice of keys and
+    the number of tasks follow the row counts. The sketch has a fixed size and is merged
+    from partial sketches; no more than 1024 keys can hold a thousandth of all rows. It only
+    decides how keys are spread; the join is exact whatever it says, and what lies below the
+    heaviest keys is left to adaptive execution.
     """
     counted = df.select(F.col(key).alias("k")).agg(
-        F.expr(f"approx_top_k(k, {HOT_KEYS}, {TRACKED})").alias("top"), F.count("k").alias("n")
+        F.expr(f"approx_top_k(k, {HOT_KEYS}, {TRACKED})").alias("top")
     )
-    frequent = F.filter("top", lambda t: t["count"] > F.col("n") * F.lit(share))
-    return counted.select(F.transform(frequent, lambda t: t["item"]).alias("keys")).scalar()
+    hot = F.filter("top", lambda t: t["item"].isNotNull() & (t["count"] > rows_per_task))
+    entries = F.transform(
+        hot, lambda t: F.struct(t["item"], F.ceil(t["count"] / rows_per_task).cast("int"))
+    )
+    return counted.select(F.map_from_entries(entries).alias("salts")).scalar()
 
 
 def salted_left_join(
-    left: DataFrame, right: DataFrame, key: str, spread: list[str], salts: int = 64
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread: list[str],
+    rows_per_task: int = ROWS_PER_TASK,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """left ⟕ right on key. Rows of hot keys are spread by a hash of ``spread``,
-    and only the matching right rows are repeated, once per salt."""
-    hot = hot_keys(left, key)
-    is_hot = F.array_contains(F.col("_hot"), F.col(key))
+    and only the matching right rows are repeated, once per salt.
+
+    ``counted`` is a table with about as many rows of each key as ``left``: give the one that
+    ``left`` was made from to count its keys without making it twice."""
+    salts = salts_of(left if counted is None else counted, key, rows_per_task)
+    tasks = F.coalesce(F.try_element_at(F.col("_salts"), F.col(key)), F.lit(1))
     salted = (
-        left.withColumn("_hot", hot)
-        .withColumn(
-            SALT,
-            F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0),
-        )
-        .drop("_hot")
-    )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+        left.withColumn("_salts", salts)
+        .withColumn(SALT, F.pmod(F.xxhash64(*spread), tasks).cast("int"))
+        .drop("_salts")
     )
     repeated = (
-        right.withColumn("_hot", hot).withColumn(SALT, F.explode(copies)).drop("_hot")
+        right.withColumn("_salts", salts)
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), tasks - 1)))
+        .drop("_salts")
     )
     return salted.join(repeated, [key, SALT], "left").drop(SALT)

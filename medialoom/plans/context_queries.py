@@ -69,6 +69,7 @@ def context_rows(t: Tables) -> DataFrame:
         ctx.first_narrative(t.view("narratives")),
         ctx.relationships_per_image(ctx.relationship_triplets(t.view("relationships"), lookup)),
         ctx.scene_objects(seg, lookup),
+        counted=seg,
     )
 
 

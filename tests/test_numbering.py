@@ -84,13 +84,15 @@ def test_salted_join_equals_plain_join(spark):
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 400)).alias("key")
     )
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("k2", 4)], "key string, v int")
-    salted = skew.salted_left_join(left, right, "key", ["id"])
+    salted = skew.salted_left_join(left, right, "key", ["id"], rows_per_task=100)
     plain = left.join(right, "key", "left")
     assert sorted(map(repr, salted.select("id", "key", "v").collect())) == sorted(
         map(repr, plain.select("id", "key", "v").collect())
     )
-    hot = left.select(skew.hot_keys(left, "key").alias("h")).first().h
-    assert "hot" in hot
+    assert left.select(skew.salts_of(left, "key", 100).alias("h")).first().h == {"hot": 14}
+    assert left.filter("id < 0").select(skew.salts_of(left, "key")).count() == 0
+    unsalted = skew.salted_left_join(left, right, "key", ["id"], counted=right)
+    assert unsalted.count() == plain.count()
 
 
 def test_no_job_runs_while_a_plan_is_built(spark):
