@@ -22,10 +22,21 @@ def test_hash_index_is_the_same_for_any_partitioning(spark, parts):
     assert got == {k: i for i, k in enumerate(order)}
 
 
+@pytest.mark.parametrize("bucket_rows,digits", [(500, 1), (20, 2), (1, 3)])
+def test_hash_buckets_follow_the_number_of_rows(spark, bucket_rows, digits):
+    df = spark.range(500).withColumnRenamed("id", "k")
+    numbered = num.hash_index(df, ["k"], bucket_rows=bucket_rows)
+    assert [r.idx for r in numbered.orderBy(F.md5(F.concat(F.lit("42|"), "k"))).collect()] == list(range(500))
+    assert num.hash_index(df.filter("k < 0"), ["k"], bucket_rows=bucket_rows).count() == 0
+    assert spark.range(1).select(num.bucket_digits(df, bucket_rows)).first()[0] == digits
+
+
+@pytest.mark.parametrize("bucket_rows", [num.BUCKET_ROWS, 40, 1])
 @pytest.mark.parametrize("n,parts", [(0, 1), (1, 1), (3000, 5)])
-def test_ordered_index(spark, n, parts):
+def test_ordered_index(spark, n, parts, bucket_rows):
     df = spark.range(n).select(F.format_string("f%d", "id").alias("name")).repartition(parts)
-    got = {r.name: r.idx for r in num.ordered_index(df, ["name"]).collect()}
+    numbered = num.ordered_index(df, ["name"], bucket_rows=bucket_rows)
+    got = {r.name: r.idx for r in numbered.collect()}
     assert got == {name: i for i, name in enumerate(sorted(f"f{k}" for k in range(n)))}
 
 
