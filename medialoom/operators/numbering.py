@@ -1,9 +1,9 @@
 """Dense positions and running totals without a one-task sort.
 
 Rows are put in order-preserving buckets, the buckets are counted, and each
-bucket is numbered on its own from its offset. The number of buckets follows the
-number of rows, so that a bucket stays of a size for one task, up to 65,536 of them:
-the offset table, one row per bucket, is broadcast.
+bucket is numbered on its own from its offset. In a shuffle the number of buckets follows
+the number of rows, up to 65,536 of them; in a natural order there are 4096. The offset
+table, one row per bucket, is broadcast.
 """
 
 from __future__ import annotations
@@ -19,10 +19,8 @@ BUCKET = "_bucket"
 SHUFFLE_KEY = "_shuffle_key"
 BUCKET_ROWS = 1 << 16  # rows that a bucket should hold
 MOST_DIGITS = 4  # hex digits of a bucket at most
-MOST_BORDERS = 16**MOST_DIGITS - 1  # one less than a power of two, for the halving search
-RANGE_STEPS = [2**i for i in range(4 * MOST_DIGITS - 1, -1, -1)]
-THINNED = 8  # every eighth sampled key is a border, so that buckets are nearly even
-SAMPLE_RANGE = 1 << 40
+RANGE_SAMPLE = 4095  # one less than a power of two, for the halving search
+RANGE_STEPS = [2**i for i in range(11, -1, -1)]
 
 
 def _number(
@@ -102,39 +100,28 @@ def ordered_index(
     order: list[str],
     index: str | None = "idx",
     sums: dict[str, Column] | None = None,
-    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Position of each row in a natural order, from 0; order must be total.
 
-    The bucket borders come from the keys whose hash lies below a share of its range, a
-    sample that every run finds again and that grows with the number of rows up to its bound. The
-    borders only steer the load, any would be right. They are written first, as one row, since
-    the search refers to them.
+    The bucket borders are the keys with the smallest hashes: an even sample that
+    every run finds again. The borders only steer the load, any would be right. They
+    are written first, as one row, since every step of the search refers to them.
     """
     key = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    total = row_total(df)
-    borders = F.least(int_div(total, bucket_rows), F.lit(MOST_BORDERS))
-    sampled = F.pmod(F.xxhash64("k"), F.lit(SAMPLE_RANGE)) < SAMPLE_RANGE * THINNED * borders / total
     borders = (
         df.select(key.alias("k"))
-        .filter(sampled)
+        .orderBy(F.xxhash64("k"), "k")
+        .limit(RANGE_SAMPLE)
         .agg(F.sort_array(F.collect_list("k")).alias("b"))
-        .select(F.filter("b", lambda k, i: i % THINNED == THINNED - 1).alias("b"))
     )
 
     found = cut_lineage(borders, "borders").scalar()
-
-    def further(state: Column, step: Column) -> Column:
-        at, known = state["at"], state["borders"]
-        moved = F.when(F.get(known, at + step - 1) <= key, step).otherwise(F.lit(0))
-        return F.struct((at + moved).alias("at"), known.alias("borders"))
-
-    steps = F.array(*(F.lit(s) for s in RANGE_STEPS))  # a halving search, as one expression
-    # a column that is used once, so the optimizer puts the borders into the search itself and
-    # no row carries them
-    start = F.struct(F.lit(0).alias("at"), F.col("_borders").alias("borders"))
-    searched = F.aggregate(steps, start, further, lambda state: state["at"])
-    bucketed = df.withColumn("_borders", found).withColumn(BUCKET, searched).drop("_borders")
+    bucketed = df.withColumns({"_key": key, "_borders": found, BUCKET: F.lit(0)})
+    for step in RANGE_STEPS:  # a halving search, one generated step after the other
+        at = F.get(F.col("_borders"), F.col(BUCKET) + (step - 1))
+        further = F.when(at <= F.col("_key"), step).otherwise(0)
+        bucketed = bucketed.withColumn(BUCKET, F.col(BUCKET) + further)
+    bucketed = bucketed.drop("_key", "_borders")
     return _number(bucketed, list(order), [], index, sums or {})
 
 
