@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medialoom.llm import byte_bpe, lines, mixing, quality, simhash
+from medialoom.llm import byte_bpe, lines, mixing, near_copies, quality
 from medialoom.llm.common import read, replace_columns
 from medialoom.session import cut_lineage
 
@@ -27,8 +27,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.without_copies(docs).select(*COLUMNS)
+    """One document of each group whose five-word shingles agree to 0.8 or more."""
+    return near_copies.without_near_copies(docs).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

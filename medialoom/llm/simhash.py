@@ -39,21 +39,26 @@ TILE, BLOCK = 32_768, 512
 PART = 65_536
 
 
-def fingerprint(text: str | None) -> int:
-    """Bits that more than half of the shingles' hashes have; as a signed number."""
+def shingle_hashes(text: str | None, width: int) -> Iterator[np.ndarray]:
+    """Hashes of a text's shingles of ``width`` words, in parts; a shorter text is one shingle."""
     words = text.encode().lower().split() if text else []  # white space and letters of ASCII only
     if not words:
-        return 0
-    if len(words) <= SHINGLE:
-        value = xxhash.xxh64_intdigest(b" ".join(words), SEED)
-        return value - (1 << 64) if value >> 63 else value
+        return
+    width = min(width, len(words))
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate([[0], ends[:-1]])
-    n, counts = len(words) - SHINGLE + 1, np.zeros(64, np.int64)
+    n = len(words) - width + 1
     for i in range(0, n, PART):
-        pairs = zip(starts[i : min(n, i + PART)].tolist(), (ends[i + SHINGLE - 1 :] - 1).tolist(), strict=False)
-        hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in pairs], dtype="<u8")
+        pairs = zip(starts[i : min(n, i + PART)].tolist(), (ends[i + width - 1 :] - 1).tolist(), strict=False)
+        yield np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in pairs], dtype="<u8")
+
+
+def fingerprint(text: str | None) -> int:
+    """Bits that more than half of the shingles' hashes have; as a signed number."""
+    n, counts = 0, np.zeros(64, np.int64)
+    for hashes in shingle_hashes(text, SHINGLE):
+        n += len(hashes)
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
     packed = np.packbits(2 * counts > n, bitorder="little")
@@ -206,9 +211,14 @@ def without_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     found = docs.select(*key_columns(docs), fingerprints("text").alias("fp"))
     found = cut_lineage(found, "fingerprints")
     joined = components(links(cut_lineage(found.select("fp").distinct(), "distinct"), radius))
+    return first_of_each(docs, found.withColumnRenamed("fp", "node"), joined)
+
+
+def first_of_each(docs: DataFrame, found: DataFrame, joined: DataFrame) -> DataFrame:
+    """The first document of each component; ``found`` holds the node of each key."""
     best = (
-        found.join(joined.withColumnRenamed("node", "fp"), "fp", "left")
-        .groupBy(F.coalesce("component", "fp").alias("component"))
+        found.join(joined, "node", "left")
+        .groupBy(F.coalesce("component", "node").alias("component"))
         .agg(F.min(key_order()).alias("best"))
     )
     wanted = best.select(*(F.col("best")[k].alias(f"_w{k}") for k in KEY))
