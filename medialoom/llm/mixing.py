@@ -10,12 +10,15 @@ block of each source is left, whose last two are decided by the landing: the out
 keeps the expected number of tokens best. Draws are hashes of ids, so reruns agree.
 
 A source may hold any share of all documents: it is split into blocks of bounded size, and only
-(id, source, size) goes through the shuffle.
+(id, source, size, hash of the text) goes through the shuffle.
+
+Rows that agree in these are one unit. A unit of n rows takes the whole part of n times the chance
+for sure; only what is left, a fraction of one row, goes into the flight. So many of its rows, in
+any order, are taken once more than the others.
 
 Defined results: a null text has size 0; documents of size 0 are taken as often as their source
-says, by document total alone. A null source is a source of its own, the last. Rows that agree in
-id, source and size are one unit and are taken alike. An empty table, and a mix of total size 0,
-give targets 0. Documents of a source without words (target 0) are not taken.
+says, by document total alone. A null source is a source of its own, the last.
+An empty table, and a mix of total size 0, give targets 0. Documents of a source without words (target 0) are not taken.
 """
 
 from __future__ import annotations
@@ -34,7 +37,9 @@ from medialoom.session import cut_lineage
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 BLOCK = 8192
-UNIT = ["_id", "_source", "_size"]
+#: Rows of one unit that a task numbers or expands.
+CHUNK = 65_536
+UNIT = ["_id", "_source", "_size", "_digest"]
 UNDECIDED = 1e-9
 
 
@@ -73,8 +78,7 @@ def targets(units: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_TIMES)
 def flight(sizes: np.ndarray, rows: np.ndarray, chances: np.ndarray, draws: np.ndarray) -> np.ndarray:
     """Moves the chances until at most two are left between 0 and 1.
 
-    Words and rows of a unit, over the chance it began with, are its coefficients in the two
-    constraints; that chance is the same for all units of a source and cancels out. ``draws``
+    Words and rows of what a chance decides on are its coefficients in the two constraints. ``draws``
     (0 to 1) steer the moves. For three units the cross product of both rows of coefficients
     spans the null space.
     """
@@ -123,10 +127,10 @@ def move(units: DataFrame, last: bool) -> DataFrame:
     """One flight, and with ``last`` the landing, in each (_source, _block)."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["_draw", "_id", "_size"], na_position="first", ignore_index=True)
-        sizes = (group["_size"] * group["_rows"]).to_numpy(dtype=float)
-        rows, draws = (group[c].to_numpy(dtype=float) for c in ("_rows", "_draw"))
-        moved = flight(sizes, rows, group["_chance"].to_numpy(dtype=float), draws)
+        order = ["_draw", "_id", "_size", "_digest"]
+        group = group.sort_values(order, na_position="first", ignore_index=True)
+        sizes, chances, draws = (group[c].to_numpy(dtype=float) for c in ("_size", "_chance", "_draw"))
+        moved = flight(sizes, np.ones(len(group)), chances, draws)
         group["_chance"] = land(sizes, moved) if last else moved
         return group
 
@@ -139,12 +143,12 @@ def in_blocks(units: DataFrame, block: int, level: int) -> DataFrame:
     joined = units.drop("_block").join(
         sizes.withColumnRenamed("_source", "_of"), F.col("_source").eqNullSafe(F.col("_of"))
     )
-    spread = F.pmod(F.xxhash64(F.lit(level), "_id", "_size"), F.col("_blocks")).cast("int")
+    spread = F.pmod(F.xxhash64(F.lit(level), "_id", "_size", "_digest"), F.col("_blocks")).cast("int")
     return joined.withColumn("_block", spread).select(*units.columns)
 
 
 def decide(units: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``units`` (_id, _source, _size, _rows, _chance, _draw, _block) with chances 0 or 1.
+    """``units`` (the columns of UNIT, _rows, _sure, _chance, _draw, _block) with chances 0 or 1.
 
     Levels go on until every source fits in one block; each leaves two units of a block at
     most, so three levels do for 10^11 documents.
@@ -167,12 +171,15 @@ def decide(units: DataFrame, block: int = BLOCK) -> DataFrame:
 def unit_columns(doc_id: str, text: str, source: str) -> list[Column]:
     return [
         F.col(doc_id).cast("string").alias("_id"), F.col(source).alias("_source"),
-        word_count(F.col(text)).alias("_size"),
+        word_count(F.col(text)).alias("_size"), F.xxhash64(text).alias("_digest"),
     ]
 
 
 def plan(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row per unit: _id, _source, _size, _rows, source_size, target, times."""
+    """One row per unit: the columns of UNIT, _rows, source_size, target, whole, extra.
+
+    Each row of a unit is taken ``whole`` times, and ``extra`` of them once more.
+    """
     rows = docs.select(*unit_columns("doc_id", "text", "source"))
     units = cut_lineage(rows.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("_rows")), "units")
     wanted = targets(units).withColumnRenamed("_source", "_of")
@@ -180,34 +187,79 @@ def plan(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     whole = F.floor(times + UNDECIDED)
     same = F.col("_source").eqNullSafe(F.col("_of"))
     draw = (F.pmod(F.xxhash64(*UNIT), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+    share = F.col("_rows") * F.greatest(times - whole, F.lit(0.0))
+    sure = F.floor(share + UNDECIDED)
     open_ = units.join(wanted, same).select(
-        *UNIT, "_rows", F.greatest(times - whole, F.lit(0.0)).alias("_chance"),
+        *UNIT, "_rows", sure.cast("long").alias("_sure"),
+        F.greatest(share - sure, F.lit(0.0)).alias("_chance"),
         draw.alias("_draw"), F.lit(0).alias("_block"),
     )
     decided = decide(open_, block).join(wanted, same)
-    return decided.select(
-        *UNIT, "_rows", "source_size", "target",
-        (whole.cast("long") + F.col("_chance").cast("long")).alias("times"),
+    planned = decided.select(
+        *UNIT, "_rows", "source_size", "target", whole.cast("long").alias("whole"),
+        (F.col("_sure") + F.col("_chance").cast("long")).alias("extra"),
     )
+    return cut_lineage(planned, "plan")
 
 
 def taken_words(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
     planned = plan(docs, block)
-    each = planned.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))))
+    # a large unit is expanded by many tasks
+    large = planned.where(F.col("_rows") > CHUNK).withColumn(
+        "_from", F.explode(F.sequence(F.lit(1).cast("long"), "_rows", F.lit(CHUNK).cast("long")))
+    )
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = planned.where(F.col("_rows") <= CHUNK).withColumn("_from", F.lit(1).cast("long")).unionByName(
+        large.repartition(tasks, *UNIT, "_from")
+    )
+    to = F.least(F.col("_rows"), F.col("_from") + CHUNK - 1)
+    each = parts.withColumn("_number", F.explode(F.sequence("_from", to)))
+    times = F.col("whole") + (F.col("_number") <= F.col("extra")).cast("long")
     return each.select(
         F.col("_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.col("_size").alias("size"), "source_size", "target",
-        (F.col("_size") * F.col("times")).alias("taken"),
+        (F.col("_size") * times).alias("taken"),
     )
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Written ``rows`` (_k columns, _rows, _mark, ...) with _number, from 1 on in each unit.
+
+    A unit is numbered in parts of about CHUNK rows, each from its offset.
+    """
+    unit = [f"_k{c}" for c in UNIT]
+    salt = F.pmod(F.xxhash64("_mark"), F.ceil(F.col("_rows") / CHUNK))
+    salted = rows.withColumn("_salt", salt)
+    before = Window.partitionBy(*unit).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    counts = salted.groupBy(*unit, "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(
+        *(F.col(c).alias(f"_o{c}") for c in [*unit, "_salt"]),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+    )
+    place = F.row_number().over(Window.partitionBy(*unit, "_salt").orderBy("_mark"))
+    same = [F.col(c).eqNullSafe(F.col(f"_o{c}")) for c in [*unit, "_salt"]]
+    placed = salted.withColumn("_place", place).join(offsets, same)
+    return placed.withColumn("_number", F.col("_place") + F.col("_offset"))
+
+
 def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The documents as often as the mix takes them, with their own columns."""
-    times = plan(docs, block).select(*(F.col(c).alias(f"_p{c}") for c in UNIT), "times")
+    planned = plan(docs, block).select(
+        *(F.col(c).alias(f"_p{c}") for c in UNIT),
+        "_rows", F.col("whole").alias("_whole"), F.col("extra").alias("_extra"),
+    )
+    own = [F.col(f"`{c}`") for c in docs.columns]
     keyed = replace_columns(
         docs, {f"_k{c}": e for c, e in zip(UNIT, unit_columns("doc_id", "text", "source"), strict=True)}
     )
     same = [F.col(f"_k{c}").eqNullSafe(F.col(f"_p{c}")) for c in UNIT]
-    found = keyed.join(times.where("times > 0"), same)
-    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
-    return copies.select(*(F.col(f"`{c}`") for c in docs.columns))
+    torn = (F.col("_extra") > 0) & (F.col("_extra") < F.col("_rows"))
+    alike = planned.where(~torn).withColumn("_times", F.col("_whole") + (F.col("_extra") > 0).cast("long"))
+    found = keyed.join(alike.where("_times > 0"), same).select(*own, "_times")
+    if not planned.where(torn).isEmpty():
+        marked = keyed.withColumn("_mark", F.monotonically_increasing_id())
+        parted = numbered(cut_lineage(marked.join(planned.where(torn), same), "torn"))
+        times = F.col("_whole") + (F.col("_number") <= F.col("_extra")).cast("long")
+        found = found.union(parted.select(*own, times.alias("_times")).where("_times > 0"))
+    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
+    return copies.select(*own)
