@@ -216,12 +216,15 @@ def learn(rows: list[tuple[str, str]], steps: int = STEPS) -> Network | None:
 def learning_rows(docs: DataFrame, held_out: Column) -> list[tuple[str, str]]:
     """At most ROWS texts of each of at most LANGUAGES languages, the first by a hash of the text.
 
-    The rows of each language are counted first; then only texts whose hash lies in the lowest
-    share, one that holds about twice ROWS, are made distinct and ranked.
+    The distinct hashes of the texts of each language are counted first; then only texts whose hash
+    lies in the lowest share, one that holds about twice ROWS of them, are made distinct and ranked.
+    Copies and empty texts don't change what is learned from.
     """
-    known = docs.where(F.col("lang").isNotNull() & ~held_out)
-    largest = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-    counts = {r["lang"]: r["n"] for r in largest.limit(LANGUAGES).collect()}
+    known = docs.where(F.col("lang").isNotNull() & ~held_out & (F.col("text") != ""))
+    hashes = known.groupBy("lang", F.xxhash64("text").alias("_hash")).agg(F.count(F.lit(1)).alias("n"))
+    largest = hashes.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
+    largest = largest.orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["texts"] for r in largest.collect()}
     if not counts:
         return []
     # the lowest of 2^53 ranges of hashes, as many as the share says
@@ -229,7 +232,7 @@ def learning_rows(docs: DataFrame, held_out: Column) -> list[tuple[str, str]]:
         (F.lit(c), F.lit(min(2**63 - 1, (int(min(1.0, 2.0 * ROWS / n) * 2**53) << 11) - 2**63)))
         for c, n in counts.items()
     ]
-    low = known.where(F.col("lang").isin(list(counts)) & (F.col("text") != "")).where(
+    low = known.where(F.col("lang").isin(list(counts))).where(
         F.xxhash64("text") <= F.element_at(F.create_map(*(x for pair in bounds for x in pair)), F.col("lang"))
     )
     order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
