@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medialoom.llm import (
     byte_bpe,
@@ -13,6 +14,7 @@ from medialoom.llm import (
     quality,
     sharding,
     simhash,
+    suffixes,
     token_counts,
     urls,
     vectors,
@@ -194,3 +196,11 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_simhash_near_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.component_ids(read(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op13_suffix_dedup")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = suffixes.without_repeats(read(spark, folder, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
