@@ -459,44 +459,18 @@ def settle(group: pd.DataFrame, length: int) -> pd.DataFrame:
 # -- the operator -------------------------------------------------------------------------------
 
 
-def text_columns() -> list[Column]:
-    text = F.coalesce("text", F.lit(""))
-    return [F.col("doc_id").alias("_id"), F.unhex(F.sha2(text, 256)).alias("sha"), F.xxhash64(text).alias("tid"), F.octet_length(text).cast("long").alias("n")]
+def key_columns() -> list[Column]:
+    """Id and SHA-256 of the text of each row."""
+    return [F.col("doc_id").alias("_id"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("sha")]
 
 
-def spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """(_id, sha, tid, n) of each row, and (sha, spans) of each text that loses bytes by itself.
+def same_document(left: str, right: str) -> Column:
+    """Join condition of two sides whose keys have these prefixes."""
+    return (F.col(left + "sha") == F.col(right + "sha")) & F.col(left + "_id").eqNullSafe(F.col(right + "_id"))
 
-    Spans are those of the first document with a text; the others lose everything.
-    """
-    rows = cut_lineage(docs.select(*text_columns()), "texts")
-    total = rows.agg(F.sum("n")).head()[0] or 0
-    session = docs.sparkSession
-    buckets = max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
-    texts = docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tid")).where(
-        F.octet_length("text") >= length
-    )
-    shared = shared_names(texts, length, buckets)
-    suspects = firsts(rows.where(F.col("n") >= length)).join(shared, "tid").select("first", "sha", "names", "hot")
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    keyed = docs.select(F.col("doc_id").alias("_id"), "text", F.unhex(F.sha2("text", 256)).alias("_sha"))
-    found = keyed.join(suspects, (F.col("_sha") == F.col("sha")) & F.col("_id").eqNullSafe(F.col("first")["_id"]))
-
-    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return send(batches, length, buckets)
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        return settle(group, length)
-
-    sent = found.select("_id", "sha", "text", "names", "hot").mapInPandas(make, StructType.fromDDL(sent_schema(id_type)))
-    settled = sent.groupBy("bucket").applyInPandas(run, "sha binary, from long, to long")
-    return rows, settled.groupBy("sha").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
 
-
-def firsts(rows: DataFrame) -> DataFrame:
-    """The first document of each text."""
-    order = F.struct(F.col("_id").isNull().alias("absent"), "_id")
-    return rows.groupBy("sha").agg(F.min(order).alias("first"), F.first("tid").alias("tid"))
+def prefixed(rows: DataFrame, prefix: str) -> DataFrame:
+    return rows.withColumnsRenamed({c: prefix + c for c in ("_id", "sha")})
 
 
 def merged(found) -> list[tuple[int, int]]:
@@ -511,6 +485,7 @@ def merged(found) -> list[tuple[int, int]]:
 
 
 def cut_out(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """What is left of each text without its spans, and the merged spans."""
     for texts, lists in batches:
         rows = []
         for text, found in zip(texts, lists, strict=True):
@@ -518,38 +493,75 @@ def cut_out(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataF
             gone = merged(found)
             begins, ends = [a for a, _ in gone], [z for _, z in gone]
             kept = b"".join(data[a:z] for a, z in zip([0, *ends], [*begins, len(data)], strict=True))
-            rows.append((kept, len(data) - len(kept), len(gone)))
-        yield pd.DataFrame(rows, columns=["kept", "n_removed", "n_spans"])
+            rows.append((kept, [{"from": a, "to": z} for a, z in gone]))
+        yield pd.DataFrame(rows, columns=["kept", "spans"])
+
+
+SPANS = "array<struct<from:long,to:long>>"
+
+
+def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """One row per document: doc_id, sha (of its text), n_bytes, spans that are removed, and kept,
+    the bytes left; kept is null where nothing is removed.
+
+    Only texts that share a name with another go through a shuffle, once to be given their names
+    and once to be cut; all else is ids and hashes.
+    """
+    session, text = docs.sparkSession, F.coalesce("text", F.lit(""))
+    rows = cut_lineage(
+        docs.select(*key_columns(), F.xxhash64(text).alias("tid"), F.octet_length(text).cast("long").alias("n")), "texts"
+    )
+    total = rows.agg(F.sum("n")).head()[0] or 0
+    buckets = max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
+    long_texts = docs.where(F.octet_length("text") >= length)
+    shared = shared_names(long_texts.select("text", F.xxhash64("text").alias("tid")), length, buckets)
+    order = F.struct(F.col("_id").isNull().alias("absent"), "_id")
+    first = rows.where(F.col("n") >= length).groupBy("sha").agg(F.min(order).alias("o"), F.first("tid").alias("tid"))
+    first = cut_lineage(first.select("tid", F.col("o")["_id"].alias("_id"), "sha"), "firsts")
+    suspects = prefixed(first.join(shared, "tid"), "s_")
+    texts = long_texts.select(*key_columns(), "text").join(suspects, same_document("", "s_"), "inner")
+    texts = cut_lineage(texts.select("_id", "sha", "text", "names", "hot"), "suspects")
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return send(batches, length, buckets)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        return settle(group, length)
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    sent = texts.mapInPandas(make, StructType.fromDDL(sent_schema(id_type)))
+    settled = sent.groupBy("bucket").applyInPandas(run, "sha binary, from long, to long")
+    settled = settled.groupBy("sha").agg(F.collect_list(F.struct("from", "to")).alias("found"))
+    cut = F.pandas_udf(cut_out, f"kept binary, spans {SPANS}")
+    mine = texts.select("_id", "sha", "text").dropDuplicates(["sha"]).join(settled, "sha")
+    mine = cut_lineage(mine.select("_id", "sha", cut("text", "found").alias("r")), "spans")
+    named = rows.join(first.select("sha", F.col("_id").alias("f_id"), F.lit(True).alias("long")), "sha", "left")
+    joined = named.join(prefixed(mine, "m_"), same_document("", "m_"), "left")
+    copy = F.col("long") & ~F.col("_id").eqNullSafe(F.col("f_id"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("from"), F.col("n").alias("to")))
+    return joined.select(
+        F.col("_id").alias("doc_id"), "sha", F.col("n").alias("n_bytes"),
+        F.when(copy, whole).otherwise(F.coalesce(F.col("r")["spans"], F.array().cast(SPANS))).alias("spans"),
+        F.when(copy, F.lit(b"")).otherwise(F.col("r")["kept"]).alias("kept"),
+    )
+
+
+def removed_bytes(found: Column) -> Column:
+    return F.aggregate(found, F.lit(0).cast("long"), lambda n, x: n + x["to"] - x["from"])
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and kept, the bytes that are left."""
-    rows, found = spans(docs, length)
-    text = F.coalesce("text", F.lit(""))
-    # what a row's key says about it; rows without a change need no look at their text
-    first = firsts(rows.where(F.col("n") >= length)).select("sha", "first")
-    changed = (
-        rows.select("_id", "sha").distinct()
-        .join(first, "sha")
-        .join(found, "sha", "left")
-        .withColumn("copy", ~F.col("_id").eqNullSafe(F.col("first")["_id"]))
-        .where("copy or spans is not null")
-        .select(F.col("_id").alias("_of"), F.col("sha").alias("_sha"), "copy", "spans")
-    )
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    given = docs.select(whole, text.alias("text"), F.col("doc_id").alias("_id"), F.unhex(F.sha2(text, 256)).alias("sha"))
-    joined = given.join(changed, (F.col("sha") == F.col("_sha")) & F.col("_id").eqNullSafe(F.col("_of")), "left")
-    cut = F.pandas_udf(cut_out, "kept binary, n_removed long, n_spans long")
-    size = F.octet_length("text").cast("long")
-    partly = joined.where("spans is not null and not copy").select("row", size.alias("n"), cut("text", "spans").alias("r"))
-    everything = F.struct(F.lit(b"").alias("kept"), size.alias("n_removed"), F.lit(1).cast("long").alias("n_spans"))
-    nothing = F.struct(
-        F.encode("text", "utf-8").alias("kept"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans")
-    )
-    rest = joined.where("copy or (copy is null)").select(
-        "row", size.alias("n"), F.when(F.col("copy"), everything).otherwise(nothing).alias("r")
-    )
-    result = {"n_bytes": F.col("n"), **{c: F.col("r")[c] for c in ("n_removed", "n_spans", "kept")}}
-    taken = {c.lower() for c in result}
-    own = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in taken]
-    return partly.unionByName(rest).select(*own, *(v.alias(c) for c, v in result.items()))
+    found = repeats(docs, length).where(F.size("spans") > 0).withColumnRenamed("doc_id", "_id")
+    found = prefixed(found.dropDuplicates(["_id", "sha"]), "r_").drop("n_bytes")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    joined = docs.select(row, *key_columns()).join(found, same_document("", "r_"), "left")
+    text = F.coalesce(F.col("row")["text"], F.lit(""))
+    result = {
+        "n_bytes": F.octet_length(text).cast("long"),
+        "n_removed": F.coalesce(removed_bytes(F.col("spans")), F.lit(0)).cast("long"),
+        "n_spans": F.coalesce(F.size("spans"), F.lit(0)).cast("long"),
+        "kept": F.coalesce("kept", F.encode(text, "utf-8")),
+    }
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in result]
+    return joined.select(*own, *(v.alias(c) for c, v in result.items()))
