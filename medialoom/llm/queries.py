@@ -11,6 +11,7 @@ from medialoom.llm import (
     language,
     lines,
     mixing,
+    periods,
     quality,
     sharding,
     simhash,
@@ -198,6 +199,19 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.component_ids(read(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = periods.with_planted_runs(read(spark, folder, "documents").select("doc_id", "text"))
+    found = periods.periodic_runs(docs).withColumn("best", periods.longest(F.col("runs")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query("op13_suffix_dedup")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixes.repeats(read(spark, folder, "documents").select("doc_id", "text"))
