@@ -81,9 +81,10 @@ def test_documents(spark):
     wanted = []
     for r in rows:
         words = [w.decode() for w in (r[1] or "").encode().split()]
-        wanted.append((*r[:2], brute(words) if r[0] != 11 else [(0, 54_000, 8793)], None))
+        wanted.append((*r[:2], brute(words) if len(words) < 3000 else [(0, 54_000, 8793)], None))
         wanted[-1] = (*wanted[-1][:3], collapse(words, wanted[-1][2]))
-    assert got == sorted(wanted, key=repr)
+    wanted.sort(key=repr)
+    assert [r for r in got if r not in wanted] == [r for r in wanted if r not in got] == []
     assert periods.periodic_runs(documents(spark, [])).count() == 0
 
 
