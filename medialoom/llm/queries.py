@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medialoom.llm import (
+    alignment,
     byte_bpe,
     language,
     lines,
@@ -199,6 +200,16 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.component_ids(read(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query("op11_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return alignment.align(docs, *paths).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+    )
+
+
 @query("op12_periodic_runs")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     docs = periods.with_planted_runs(read(spark, folder, "documents").select("doc_id", "text"))
