@@ -113,7 +113,7 @@ def test_alignment_of_documents(spark, monkeypatch, small):
     rows = some_rows()
     docs = documents(spark, rows)
     found = alignment.align(docs, *PATHS)
-    assert found.columns == [c for c in docs.columns if c != "text"] + alignment.NAMES
+    assert found.columns == docs.columns + alignment.NAMES
     got = sorted((tuple(r[c] for c in ["doc_id", *alignment.NAMES]) for r in found.collect()), key=repr)
     wanted = brute(rows)[0]
     assert got == sorted(wanted, key=repr)
@@ -121,6 +121,26 @@ def test_alignment_of_documents(spark, monkeypatch, small):
     assert alignment.align(documents(spark, []), *PATHS).count() == 0
 
 
+def test_words_in_small_parts(monkeypatch):
+    """Texts cut at spaces, with few words remembered, give what whole texts give."""
+    for name, value in {"GATHER": 300, "REMEMBERED": 40, "JOINED": 7}.items():
+        monkeypatch.setattr(alignment, name, value)
+    rng = random.Random(4)
+    letters = ["a", "b", "é", " ", " ", "  ", "\n", "\t", "\u3000", "\xa0", "\x1c", "\u0301", "'s", "12", "<s>", "▁", "🙂", "ﬁ", "日"]
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 25))) for _ in range(400)]
+    texts += ["same words here", " same words", "same words "] * 5
+    pair, rows = alignment.Pair(*PATHS), [(i, t) for i, t in enumerate(texts)]
+    assert pair.parts_at_spaces
+    words = alignment.Words(pair)
+    got = []
+    for part in alignment.gathered(texts):
+        if len(words) > alignment.REMEMBERED:
+            words.forget()
+        found = alignment.measured(part, words, None)
+        got += [tuple(r) for r in found[["n_a", "n_b", "n_groups", "n_links", "groups"]].itertuples(index=False)]
+    assert got == [(*w[1:5], w[7]) for w in brute(rows)[0]]
+
+
 def test_links(spark):
     rows = [r for r in some_rows() if r[0] is not None and r[0] not in (8, 35)][:30]
     rows = list({r[0]: r for r in rows}.values())
@@ -138,7 +158,7 @@ def test_clashing_names_and_query(spark, tmp_path):
     for name in ("id", "given", "found", "a", "b", "t", "key", "n_a", "of", "best"):
         docs = docs.withColumn(name, docs.doc_id)
     got = alignment.align(docs, *PATHS)
-    assert got.columns == [c for c in docs.columns if c not in ("text", "n_a")] + alignment.NAMES
+    assert got.columns == [c for c in docs.columns if c != "n_a"] + alignment.NAMES
     assert all(r.id == r.given == r.key == r.doc_id for r in got.collect())
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted(map(tuple, queries.QUERIES["op11_alignment"](spark, str(tmp_path)).collect()), key=repr)
