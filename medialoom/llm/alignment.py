@@ -234,9 +234,9 @@ class Texts:
 class Words(dict):
     """The different words of a worker, by number, with their tokens' links and groups."""
 
-    def __init__(self, pair: Pair):
+    def __init__(self, pair: Pair, with_groups: bool = True):
         super().__init__()
-        self.pair = pair
+        self.pair, self.with_groups = pair, with_groups
         self.forget()
 
     def forget(self) -> None:
@@ -288,7 +288,8 @@ class Words(dict):
         n_a, n_b, n_links = (np.diff(x, prepend=0) for x in (at_a, at_b, at_links))
         n_groups = np.diff(np.searchsorted(texts.group_ends(), ends, "right"), prepend=0)
         self.update(zip(words, range(len(self), len(self) + len(words)), strict=True))
-        self.groups += texts.group_texts(n_a, n_b)
+        if self.with_groups:
+            self.groups += texts.group_texts(n_a, n_b)
         found = {"same": same, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "keys": texts.link_keys(links)}
         for name, values in found.items():
             self.parts[name].append(values)
@@ -365,8 +366,7 @@ def pair_counts(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
     its second id."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = words_of(paths)
-        words.forget()
+        words = Words(pair_of(paths), with_groups=False)
         times = np.empty(0, np.int64)
 
         def flush() -> pd.DataFrame:
@@ -434,12 +434,10 @@ def numbers_of(paths: tuple[str, str], sent=None):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words, table = words_of(paths), None if sent is None else sent.value
         for batch in batches:
-            parts = []
-            for part in gathered(batch.tolist()):
+            for part in gathered(batch.tolist()):  # groups are long: no batch is held whole
                 if len(words) > REMEMBERED:
                     words.forget()
-                parts.append(measured(part, words, table))
-            yield pd.concat(parts, ignore_index=True)[names]
+                yield measured(part, words, table)[names]
 
     schema = ", ".join(f"{c} {'string' if c == 'groups' else 'long'}" for c in names)
     return F.pandas_udf(run, schema)

@@ -52,3 +52,19 @@ def replace_columns(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     taken = {name.lower() for name in columns}
     rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken]
     return docs.select(*rest, *(value.alias(name) for name, value in columns.items()))
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row as one, named ``row``: helper columns beside it can't clash with any."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
+def own_columns(docs: DataFrame, results: tuple | list = ()) -> list[Column]:
+    """The columns of ``row`` again, but for those that are named like results."""
+    taken = {name.lower() for name in results}
+    return [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in taken]
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """64 bits of all columns of a row."""
+    return F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))

@@ -4,11 +4,15 @@ Texts are lower-cased, written as UTF-8 and cut into windows of a fixed number o
 recurrent layers read each window, one from each end; at every position both states together
 give a label, and the probabilities of all positions of a document are averaged. The network
 is trained in numpy by backpropagation through time on the driver, from a bounded sample of
-labelled rows; prediction runs over every byte of every text, many windows side by side.
+labelled rows; prediction runs over every byte of every text, many windows side by side. The
+windows to learn from are cut in the tasks, so no whole text reaches the driver. Every language is
+learned: states and steps grow with their number.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter, and every text
-if nothing could be learned. Ties between languages go to the first by code point. Only text
-and lang of learning rows are ever used; a prediction depends on the text alone.
+if nothing could be learned, also because the table is empty. Ties between languages go to the
+first by code point. Only text and lang of learning rows are ever used; a prediction depends on the
+text alone, so repeated rows and null ids get what their text gets. A text of any length is read
+whole. Columns named lang_pred or score give way, all others stay.
 """
 
 from __future__ import annotations
@@ -23,10 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from medialoom.llm.common import replace_columns
+from medialoom.llm.common import own_columns, replace_columns, whole_row
 
-#: Learning uses at most this many rows of a language and this many languages.
-ROWS, LANGUAGES = 200, 100
+#: Learning uses at most ROWS rows of a language; many languages share BUDGET rows, one each at least.
+ROWS, BUDGET = 200, 20_000
 #: Windows taken from a learning row at most, spread evenly over the whole text.
 SPREAD = 8
 #: Bytes of a window; states of a layer; windows that are run side by side.
@@ -144,10 +148,16 @@ def unroll(back: np.ndarray, gates: list, data: np.ndarray, wanted: np.ndarray):
     return slope_table, slope_back
 
 
-def train(windows: np.ndarray, answers: np.ndarray, labels: list[str], steps: int = STEPS) -> Network:
+def states_for(labels: int) -> int:
+    """States of a layer: STATES for a dozen languages, more for more of them."""
+    return STATES if labels <= 12 else min(96, STATES + labels // 4)
+
+
+def train(windows: np.ndarray, answers: np.ndarray, labels: list[str], steps: int | None = None) -> Network:
     """Fits the network to windows (n x bytes, padded with 256) and the label of each."""
     rng = np.random.default_rng(SEED)
-    h, k = STATES, len(labels)
+    h, k = states_for(len(labels)), len(labels)
+    steps = STEPS if steps is None else steps
 
     def start(*shape: int) -> np.ndarray:
         return (rng.standard_normal(shape) * 0.3).astype(np.float32)
@@ -162,7 +172,7 @@ def train(windows: np.ndarray, answers: np.ndarray, labels: list[str], steps: in
     groups = [np.flatnonzero(answers == c) for c in range(k)]
     for step in range(1, steps + 1):
         # as many windows of each language, whatever its share of the sample
-        picked = np.concatenate([rng.choice(g, -(-BATCH // k)) for g in groups])
+        picked = np.concatenate([rng.choice(g, -(-BATCH // k)) for g in drawn(groups, rng)])
         data, truth = np.ascontiguousarray(windows[picked].T), answers[picked]
         (ahead, gates_a), (behind, gates_b) = (
             run_kept(table, back, way)
@@ -191,6 +201,12 @@ def train(windows: np.ndarray, answers: np.ndarray, labels: list[str], steps: in
     return net
 
 
+def drawn(groups: list[np.ndarray], rng: np.random.Generator) -> list[np.ndarray]:
+    """The languages of a step: all, or so many of many that a step stays small."""
+    most = 4 * BATCH
+    return groups if len(groups) <= most else [groups[i] for i in rng.permutation(len(groups))[:most]]
+
+
 def cut(text: str) -> np.ndarray:
     """All bytes of a text in windows; the last is padded."""
     data = np.frombuffer(text.lower().encode(), np.uint8).astype(np.int32)
@@ -200,45 +216,56 @@ def cut(text: str) -> np.ndarray:
     return padded.reshape(rows, WINDOW)
 
 
-def learn(rows: list[tuple[str, str]], steps: int = STEPS) -> Network | None:
-    """Network from (text, lang) rows; None without a text."""
-    labels = sorted({lang for text, lang in rows if text})
-    windows, answers = [], []
-    for text, lang in rows:
-        if text:
-            found = cut(text)
-            chosen = np.unique(np.linspace(0, len(found) - 1, SPREAD).astype(int))
-            windows.append(found[chosen])
-            answers += [labels.index(lang)] * len(chosen)
-    return train(np.concatenate(windows), np.array(answers), labels, steps) if windows else None
+def spread_windows(text: str) -> np.ndarray:
+    """Windows to learn from, at most SPREAD, evenly over the whole text."""
+    found = cut(text)
+    return found[np.unique(np.linspace(0, len(found) - 1, SPREAD).astype(int))]
+
 
+def learn(rows: list[tuple[bytes, str]], steps: int | None = None) -> Network | None:
+    """Network from (windows, lang) rows, as ``learning_rows`` gives them; None without a window."""
+    labels = sorted({lang for data, lang in rows if data})
+    number = {lang: i for i, lang in enumerate(labels)}
+    windows = [np.frombuffer(data, "<u2").reshape(-1, WINDOW).astype(np.int32) for data, _ in rows if data]
+    if not windows:
+        return None
+    answers = np.repeat([number[lang] for data, lang in rows if data], [len(w) for w in windows])
+    return train(np.concatenate(windows), answers, labels, steps)
 
-def learning_rows(docs: DataFrame, held_out: Column) -> list[tuple[str, str]]:
-    """At most ROWS texts of each of at most LANGUAGES languages, the first by a hash of the text.
+
+def cut_windows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in batches:
+        yield pd.Series([spread_windows(t).astype("<u2").tobytes() for t in batch], dtype=object)
+
+
+def learning_rows(docs: DataFrame, held_out: Column) -> list[tuple[bytes, str]]:
+    """(windows, lang) of the first texts of each language by a hash of the text: ROWS of them, or an
+    equal share of BUDGET if there are many languages, one at least.
 
     The distinct hashes of the texts of each language are counted first; then only texts whose hash
-    lies in the lowest share, one that holds about twice ROWS of them, are made distinct and ranked.
-    Copies and empty texts don't change what is learned from.
+    lies in the lowest share, one that holds about twice as many, are made distinct and ranked.
+    Copies and empty texts don't change what is learned from. What reaches the driver is at
+    most SPREAD windows a row.
     """
     known = docs.where(F.col("lang").isNotNull() & ~held_out & (F.col("text") != ""))
-    hashes = known.groupBy("lang", F.xxhash64("text").alias("_hash")).agg(F.count(F.lit(1)).alias("n"))
-    largest = hashes.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
-    largest = largest.orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    counts = {r["lang"]: r["texts"] for r in largest.collect()}
-    if not counts:
+    hashes = known.groupBy("lang", F.xxhash64("text").alias("hash")).agg(F.count(F.lit(1)).alias("n"))
+    languages = hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
+    n = languages.count()
+    if not n:
         return []
+    rows = max(1, min(ROWS, BUDGET // n))
     # the lowest of 2^53 ranges of hashes, as many as the share says
-    bounds = [
-        (F.lit(c), F.lit(min(2**63 - 1, (int(min(1.0, 2.0 * ROWS / n) * 2**53) << 11) - 2**63)))
-        for c, n in counts.items()
-    ]
-    low = known.where(F.col("lang").isin(list(counts))).where(
-        F.xxhash64("text") <= F.element_at(F.create_map(*(x for pair in bounds for x in pair)), F.col("lang"))
+    share = F.least(F.lit(1.0), F.lit(2.0 * rows) / F.col("texts"))
+    top = F.when(share >= 1.0, F.lit(2**63 - 1)).otherwise(
+        F.shiftleft(F.floor(share * float(2**53)), 11).bitwiseXOR(F.lit(-(2**63)))
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    ranked = low.select("lang", "text").distinct().withColumn("_rank", F.row_number().over(order))
-    first = ranked.where(F.col("_rank") <= ROWS).orderBy("lang", "_rank")
-    return [(r["text"], r["lang"]) for r in first.collect()]
+    bounds = languages.select(F.col("lang").alias("of"), top.alias("top"))
+    given = known.select("lang", "text", F.xxhash64("text").alias("hash"))
+    low = given.join(bounds, F.col("lang") == F.col("of")).where("hash <= top")
+    order = Window.partitionBy("lang").orderBy("hash", "text")
+    ranked = low.select("lang", "text", "hash").distinct().withColumn("rank", F.row_number().over(order))
+    first = ranked.where(F.col("rank") <= rows).select("lang", "rank", F.pandas_udf(cut_windows, "binary")("text").alias("windows"))
+    return [(bytes(r["windows"]), r["lang"]) for r in first.orderBy("lang", "rank").collect()]
 
 
 def label_texts(net: Network, texts: list[str]) -> list[tuple[str, float]]:
@@ -291,10 +318,9 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
             rows = label_texts(net, list(batch))
             yield pd.DataFrame(rows, columns=["label", "score"], dtype=object)
 
-    found = replace_columns(docs, {"_label": label(F.coalesce("text", F.lit("")))})
-    return replace_columns(
-        found, {"lang_pred": F.col("_label")["label"], "score": F.col("_label")["score"]}
-    ).drop("_label")
+    found = docs.select(whole_row(docs), label(F.coalesce("text", F.lit(""))).alias("found"))
+    results = {"lang_pred": F.col("found")["label"], "score": F.col("found")["score"]}
+    return found.select(*own_columns(docs, results), *(v.alias(c) for c, v in results.items()))
 
 
 def held_out_fold(doc_id: str = "doc_id") -> Column:

@@ -11,7 +11,8 @@ split by the join, and a text is gathered in no task but its own row.
 
 Defined results: a null text stays null with 0 lines. Texts with fewer than three lines with
 words stay as they are. Null ids order last; rows that agree in id and text are one document and
-are treated alike. A text that loses every line becomes empty. An empty table gives no rows.
+are treated alike. A text that loses every line becomes empty; a very long one is split in its own
+row. An empty table gives no rows. Columns named n_lines or n_removed give way, all others stay.
 """
 
 from __future__ import annotations
@@ -19,7 +20,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medialoom.llm.common import BLANKS, KEY, key_columns, key_order, let, replace_columns, same_key
+from medialoom.llm.common import (
+    BLANKS,
+    KEY,
+    key_columns,
+    key_order,
+    let,
+    own_columns,
+    same_key,
+    whole_row,
+)
 from medialoom.session import cut_lineage
 
 LINES = 3
@@ -63,13 +73,13 @@ def later_windows(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the cleaned text, n_lines and n_removed."""
-    later = later_windows(docs).select(*(F.col(k).alias(f"_w{k}") for k in KEY), "later")
-    later = later.withColumnRenamed("later", "_later")
-    keyed = replace_columns(docs, {f"_k{k}": e for k, e in zip(KEY, key_columns(docs), strict=True)})
-    joined = keyed.join(later, same_key("_k", "_w"), "left")
+    later = later_windows(docs).select(*(F.col(k).alias(f"w{k}") for k in KEY), "later")
+    keys = [e.alias(f"k{k}") for k, e in zip(KEY, key_columns(docs), strict=True)]
+    joined = docs.select(whole_row(docs), *keys).join(later, same_key("k", "w"), "left")
+    text = F.col("row")["text"]
 
     def rest(lines: Column, places: Column) -> Column:
-        covers = F.transform("_later", lambda k: F.slice(places, k + 1, F.lit(LINES)))
+        covers = F.transform("later", lambda k: F.slice(places, k + 1, F.lit(LINES)))
         everything = F.sequence(F.lit(0), F.size(lines) - 1)
         left = F.array_except(everything, F.flatten(covers))
         return F.struct(
@@ -78,17 +88,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             (F.size(lines) - F.size(left)).alias("removed"),
         )
 
-    lines = F.split("text", "\n")
+    lines = F.split(text, "\n")
     result = F.when(
-        F.col("_later").isNotNull(), let(lines, lambda x: let(spoken(x), lambda p: rest(x, p)))
+        F.col("later").isNotNull(), let(lines, lambda x: let(spoken(x), lambda p: rest(x, p)))
     )
-    cleaned = joined.withColumn("_rest", result)
-    whole = F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit("\n")) + 1)
-    return replace_columns(
-        cleaned,
-        {
-            "text": F.coalesce(F.col("_rest")["text"], F.col("text")),
-            "n_lines": F.coalesce(F.col("_rest")["n"], whole).cast("long"),
-            "n_removed": F.coalesce(F.col("_rest")["removed"], F.lit(0)).cast("long"),
-        },
-    ).drop("_rest", "_later", *(f"_{s}{k}" for k in KEY for s in "kw"))
+    cleaned = joined.select("row", result.alias("rest"))
+    whole = F.when(text.isNull(), 0).otherwise(F.regexp_count(text, F.lit("\n")) + 1)
+    results = {
+        "text": F.coalesce(F.col("rest")["text"], text),
+        "n_lines": F.coalesce(F.col("rest")["n"], whole).cast("long"),
+        "n_removed": F.coalesce(F.col("rest")["removed"], F.lit(0)).cast("long"),
+    }
+    return cleaned.select(*own_columns(docs, results), *(v.alias(c) for c, v in results.items()))

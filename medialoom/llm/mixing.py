@@ -19,6 +19,7 @@ any order, are taken once more than the others.
 Defined results: a null text has size 0; documents of size 0 are taken as often as their source
 says, by document total alone. A null source is a source of its own, the last.
 An empty table, and a mix of total size 0, give targets 0. Documents of a source without words (target 0) are not taken.
+Very long texts count like others; only their size travels. Columns of any name stay.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from medialoom.llm.common import replace_columns, word_count
+from medialoom.llm.common import own_columns, row_hash, whole_row, word_count
 from medialoom.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -225,10 +226,14 @@ def taken_words(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 def numbered(rows: DataFrame) -> DataFrame:
     """Written ``rows`` (_k columns, _rows, _mark, ...) with _number, from 1 on in each unit.
 
-    A unit is numbered in parts of about CHUNK rows, each from its offset.
+    Rows of a unit follow the hash of all their columns, so any partitioning gives the same rows. A
+    unit is numbered in parts of about CHUNK rows, each from its offset; rows that agree in all
+    columns are dealt to the parts at random, as it doesn't matter which of them is which.
     """
     unit = [f"_k{c}" for c in UNIT]
-    salt = F.pmod(F.xxhash64("_mark"), F.ceil(F.col("_rows") / CHUNK))
+    parts = F.ceil(F.col("_rows") / CHUNK)
+    # the hash's order decides; only a large unit has more than one part
+    salt = F.when(parts > 1, F.pmod(F.xxhash64("_mark"), parts)).otherwise(F.lit(0))
     salted = rows.withColumn("_salt", salt)
     before = Window.partitionBy(*unit).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     counts = salted.groupBy(*unit, "_salt").agg(F.count(F.lit(1)).alias("_n"))
@@ -248,18 +253,15 @@ def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         *(F.col(c).alias(f"_p{c}") for c in UNIT),
         "_rows", F.col("whole").alias("_whole"), F.col("extra").alias("_extra"),
     )
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = replace_columns(
-        docs, {f"_k{c}": e for c, e in zip(UNIT, unit_columns("doc_id", "text", "source"), strict=True)}
-    )
+    keys = [e.alias(f"_k{c}") for c, e in zip(UNIT, unit_columns("doc_id", "text", "source"), strict=True)]
+    keyed = docs.select(whole_row(docs), row_hash(docs).alias("_mark"), *keys)
     same = [F.col(f"_k{c}").eqNullSafe(F.col(f"_p{c}")) for c in UNIT]
     torn = (F.col("_extra") > 0) & (F.col("_extra") < F.col("_rows"))
     alike = planned.where(~torn).withColumn("_times", F.col("_whole") + (F.col("_extra") > 0).cast("long"))
-    found = keyed.join(alike.where("_times > 0"), same).select(*own, "_times")
+    found = keyed.join(alike.where("_times > 0"), same).select("row", "_times")
     if not planned.where(torn).isEmpty():
-        marked = keyed.withColumn("_mark", F.monotonically_increasing_id())
-        parted = numbered(cut_lineage(marked.join(planned.where(torn), same), "torn"))
+        parted = numbered(cut_lineage(keyed.join(planned.where(torn), same), "torn"))
         times = F.col("_whole") + (F.col("_number") <= F.col("_extra")).cast("long")
-        found = found.union(parted.select(*own, times.alias("_times")).where("_times > 0"))
+        found = found.union(parted.select("row", times.alias("_times")).where("_times > 0"))
     copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
-    return copies.select(*own)
+    return copies.select(*own_columns(docs))

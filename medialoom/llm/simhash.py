@@ -14,7 +14,8 @@ each pair is a task of bounded size.
 
 Defined results: a null text and one without words have fingerprint zero, which links like any
 other. Rows that agree in id and text are one document. The smallest id names a component; null
-ids only name components of nulls. An empty table gives no rows.
+ids only name components of nulls. A very long text is hashed in parts. An empty table gives no
+rows. Columns of any name stay.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
-from medialoom.llm.common import KEY, key_columns, key_order, replace_columns, same_key
+from medialoom.llm.common import KEY, key_columns, key_order, own_columns, row_hash, same_key, whole_row
 from medialoom.llm.components import Forest, components
 from medialoom.session import cut_lineage
 
@@ -204,10 +205,7 @@ def component_ids(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The first document of each component, by id and then hash of the text, null ids last.
-
-    Of rows that agree in id and text any one stays.
-    """
+    """The first document of each component, by id and then hash of the text, null ids last."""
     found = docs.select(*key_columns(docs), fingerprints("text").alias("fp"))
     found = cut_lineage(found, "fingerprints")
     joined = components(links(cut_lineage(found.select("fp").distinct(), "distinct"), radius))
@@ -215,15 +213,18 @@ def without_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame, found: DataFrame, joined: DataFrame) -> DataFrame:
-    """The first document of each component; ``found`` holds the node of each key."""
+    """The first document of each component; ``found`` holds the node of each key.
+
+    Of rows that agree in id and text the one whose columns have the smallest hash stays.
+    """
     best = (
         found.join(joined, "node", "left")
         .groupBy(F.coalesce("component", "node").alias("component"))
         .agg(F.min(key_order()).alias("best"))
     )
-    wanted = best.select(*(F.col("best")[k].alias(f"_w{k}") for k in KEY))
-    keyed = replace_columns(docs, {f"_k{k}": e for k, e in zip(KEY, key_columns(docs), strict=True)})
-    kept = keyed.join(wanted, same_key("_k", "_w"), "left_semi")
-    return kept.dropDuplicates([f"_k{k}" for k in KEY]).select(
-        *(F.col(f"`{c}`") for c in docs.columns)
-    )
+    wanted = best.select(*(F.col("best")[k].alias(f"w{k}") for k in KEY))
+    keys = [e.alias(f"k{k}") for k, e in zip(KEY, key_columns(docs), strict=True)]
+    keyed = docs.select(whole_row(docs), row_hash(docs).alias("h"), *keys)
+    kept = keyed.join(wanted, same_key("k", "w"), "left_semi")
+    one = kept.groupBy(*(f"k{k}" for k in KEY)).agg(F.min_by("row", "h").alias("row"))
+    return one.select(*own_columns(docs))

@@ -13,7 +13,8 @@ forest of them, never the pairs. So all vectors are compared with all, in blocks
 with the square of the distinct vectors, and the bound on a task's memory does not.
 
 Defined results: a vector that is null, empty, zero, or holds a null or non-finite component
-links with nothing; neither do vectors of different length. Repeated rows are vectors of their
+links with nothing; neither do vectors of different length. Components may be as large or as
+small as doubles can be. Repeated rows are vectors of their
 own that link with each other. The smallest id names a component; an empty table gives no rows.
 """
 
@@ -62,11 +63,12 @@ def usable(vector) -> np.ndarray | None:
     if vector is None or len(vector) == 0:
         return None
     found = np.asarray([np.nan if x is None else x for x in vector] if None in vector else vector, float)
-    size = np.sqrt(found @ found) if np.isfinite(found).all() else 0.0
-    return found + 0.0 if np.isfinite(size) and size > 0 else None
+    return found + 0.0 if np.isfinite(found).all() and found.any() else None
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length one; divided by their largest component first, so that no square is lost."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
 
 

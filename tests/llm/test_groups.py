@@ -106,6 +106,17 @@ def test_vectors_against_all_pairs(spark):
     assert vectors.near_duplicates(data.where("false")).count() == 0
 
 
+def test_vectors_of_very_large_and_very_small_components(spark):
+    tiny = 5e-324
+    rows = [
+        (1, [1e200, 1e200]), (2, [1e200, 1e200]), (3, [1e-200, 1e-200]), (4, [tiny, tiny]), (5, [1.0, 1.1]), (6, [-1e308, 1e308]),
+        (7, [1e308, -1e308]), (8, [0.0, 0.0]), (9, [float("inf"), 1.0]), (10, [-1.7e308, 1.7e308]), (11, [1e308, 1e-308]), (12, [tiny, 0.0]),
+    ]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    wanted = {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 5: (4, 1), 6: (1, 6), 7: (0, 7), 8: (0, 8), 9: (0, 9), 10: (1, 6), 11: (1, 11), 12: (1, 11)}
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == wanted
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(8)
     x, errors = rng.standard_normal((4000, 64)), []
@@ -269,7 +280,8 @@ def test_held_out_accuracy(spark):
     docs = documents(spark, rows)
     held = language.held_out_fold()
     learned = language.learning_rows(docs, held)
-    assert not {t for t, _ in learned} & {r[1] for r in rows if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 4 == 2}
+    unseen = [r[1] for r in rows if r[1] and r[0] is not None and zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    assert not {w for w, _ in learned} & {language.spread_windows(t).astype("<u2").tobytes() for t in unseen}
     net = language.learn(learned, steps=60)
     got = language.identify(docs, net).withColumn("held_out", held).collect()
     assert len(got) == len(rows)

@@ -9,11 +9,11 @@ import tiktoken
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from medialoom.llm import byte_bpe, quality, simhash
+from medialoom.llm import byte_bpe, quality
 
 from .helpers import ODD, corpus, documents
-from .test_groups import brute_fingerprint
 from .helpers import components as plain_components
+from .test_near_copies import shingles
 from .test_texts import brute_base, brute_lines, brute_scores
 
 
@@ -43,8 +43,11 @@ def test_pipeline_against_plain_python(spark, tmp_path):
     wanted = sorted((r[0], cleaned[r[:2]][0]) for r in kept)
     assert sorted((r.doc_id, r.text) for r in stages[1].collect()) == wanted
     assert all(r.n_chars == len(r.text) for r in stages[1].collect())
-    prints = [brute_fingerprint(t) for _, t in wanted]
-    links = [(a, b) for a in range(len(wanted)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= simhash.RADIUS]
+    sets = [shingles(t) for _, t in wanted]
+    links = [
+        (a, b) for a in range(len(wanted)) for b in range(a)
+        if sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    ]
     roots = sorted({wanted[r][0] for r in plain_components(len(wanted), links)})
     assert sorted(r.doc_id for r in stages[2].collect()) == roots
     assert {r.doc_id for r in stages[3].collect()} <= set(roots)
@@ -71,7 +74,7 @@ def test_pipeline_of_odd_and_of_no_documents(spark, tmp_path):
 def test_queries_are_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
 
 
 def test_the_rest_of_the_library_does_not_import_these():
