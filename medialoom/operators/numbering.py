@@ -1,9 +1,9 @@
 """Dense positions and running totals without a one-task sort.
 
 Rows are put in order-preserving buckets, the buckets are counted, and each
-bucket is numbered on its own from its offset. In a shuffle the number of buckets follows
-the number of rows, up to 65,536 of them; in a natural order there are 4096. The offset
-table, one row per bucket, is broadcast.
+bucket is numbered on its own from its offset. The number of buckets follows the number of
+rows, up to 65,536 of them, so the offset table, one row per bucket, can be broadcast. A shuffle's
+buckets are hash prefixes; those of a natural order are the engine's range partitions.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from medialoom.session import cut_lineage
 
 BUCKET = "_bucket"
 SHUFFLE_KEY = "_shuffle_key"
+PLACE = "_place"
 BUCKET_ROWS = 1 << 16  # rows that a bucket should hold
 MOST_DIGITS = 4  # hex digits of a bucket at most
-RANGE_SAMPLE = 4095  # one less than a power of two, for the halving search
-RANGE_STEPS = [2**i for i in range(11, -1, -1)]
+MOST_RANGES = 1 << 16  # range partitions at most
 
 
 def _number(
@@ -95,34 +95,42 @@ def hash_index(
     return numbered.drop(SHUFFLE_KEY)
 
 
+def in_ranges(df: DataFrame, order: list[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Written rows in the engine's range partitions, sorted, with partition and place in it.
+
+    As many partitions as the rows ask for. They are written, since a partition's number and the
+    places in it only hold for what has been written.
+    """
+    ranges = min(MOST_RANGES, -(-df.count() // bucket_rows) or 1)
+    place = F.monotonically_increasing_id()  # the partition, then 33 bits of the place in it
+    sorted_rows = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    written = cut_lineage(sorted_rows.withColumn(PLACE, place), "ranges")
+    return written.withColumns(
+        {BUCKET: F.shiftright(PLACE, 33), PLACE: F.col(PLACE).bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+
+
 def ordered_index(
     df: DataFrame,
     order: list[str],
     index: str | None = "idx",
     sums: dict[str, Column] | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Position of each row in a natural order, from 0; order must be total.
 
-    The bucket borders are the keys with the smallest hashes: an even sample that
-    every run finds again. The borders only steer the load, any would be right. They
-    are written first, as one row, since every step of the search refers to them.
+    The rows go through one range shuffle and one sort; a position is the offset of the row's
+    partition and its place in it. Running totals are windows over the partitions.
     """
-    key = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    borders = (
-        df.select(key.alias("k"))
-        .orderBy(F.xxhash64("k"), "k")
-        .limit(RANGE_SAMPLE)
-        .agg(F.sort_array(F.collect_list("k")).alias("b"))
-    )
-
-    found = cut_lineage(borders, "borders").scalar()
-    bucketed = df.withColumns({"_key": key, "_borders": found, BUCKET: F.lit(0)})
-    for step in RANGE_STEPS:  # a halving search, one generated step after the other
-        at = F.get(F.col("_borders"), F.col(BUCKET) + (step - 1))
-        further = F.when(at <= F.col("_key"), step).otherwise(0)
-        bucketed = bucketed.withColumn(BUCKET, F.col(BUCKET) + further)
-    bucketed = bucketed.drop("_key", "_borders")
-    return _number(bucketed, list(order), [], index, sums or {})
+    ranged = in_ranges(df, order, bucket_rows)
+    if sums:
+        return _number(ranged.drop(PLACE), list(order), [], index, sums)
+    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    counted = ranged.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counted.select(BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # at most MOST_RANGES rows, whatever the input
+    numbered = ranged.join(F.broadcast(offsets), BUCKET, "left")
+    return numbered.withColumn(index, F.col("_offset") + F.col(PLACE)).drop(BUCKET, PLACE, "_offset")
 
 
 def row_total(df: DataFrame) -> Column:
@@ -158,12 +166,53 @@ def size_bounded_shards(
     max_bytes: int = fv.SHARD_BYTES,
     seed: object = fv.SHUFFLE_SEED,
 ) -> DataFrame:
-    """Cut a seeded shuffle where the running number of bytes passes a multiple of the cap."""
-    numbered = hash_index(
-        df, key, seed, sums={"bytes_to_here": F.coalesce(F.col(size), F.lit(0))}
+    """Cut a seeded shuffle into shards of at most ``max_bytes``, each filled until a file does not fit.
+
+    A file above the cap is a shard of its own. Rows are numbered with their running bytes; each
+    row then knows the row that would begin the next shard if it began one, and doubling that
+    step finds all shards that really begin, in as many rounds as the number of shards has bits.
+    """
+    bytes_ = F.coalesce(F.col(size), F.lit(0)).cast("long")
+    numbered = cut_lineage(hash_index(df, key, seed, sums={"bytes_to_here": bytes_}), "sized")
+    end = F.col("bytes_to_here")
+    rows = numbered.select("idx", (end - bytes_).alias("start"), end.alias("end"))
+    starts = shard_starts(rows, max_bytes).withColumn("_first", F.lit(1))
+    flagged = numbered.join(starts, "idx", "left").withColumns(
+        {"_first": F.coalesce("_first", F.lit(0)), BUCKET: int_div(F.col("idx"), BUCKET_ROWS)}
     )
-    start = F.col("bytes_to_here") - F.coalesce(F.col(size), F.lit(0))
-    return numbered.withColumn("shard", int_div(start, max_bytes))
+    shards = _number(flagged, ["idx"], [], None, {"shard": F.col("_first")})
+    return shards.withColumn("shard", F.col("shard") - 1).drop("_first")
+
+
+def shard_starts(rows: DataFrame, max_bytes: int) -> DataFrame:
+    """(idx) of the rows that begin a shard; ``rows`` holds idx, start and end on one line of bytes.
+
+    The next shard begins with the row that holds the byte ``max_bytes`` after the start. Rows and
+    bytes meet in cells as wide as a row is long on average, so a cell holds few rows and all cells
+    of all rows are about two for each.
+    """
+    n, total = rows.agg(F.count(F.lit(1)), F.max("end")).head()
+    if not n:
+        return rows.select("idx")
+    width = max(1, (total or 0) // n)
+    cells = rows.where(F.col("end") > F.col("start")).select(
+        F.col("idx").alias("to"), F.col("start").alias("low"), F.col("end").alias("high"),
+        F.explode(F.sequence(int_div(F.col("start"), width), int_div(F.col("end") - 1, width))).alias("cell"),
+    )
+    wanted = rows.select("idx", "start", "end", (F.col("start") + max_bytes).alias("byte"))
+    own = wanted.where(F.col("end") - F.col("start") > max_bytes).select("idx", (F.col("idx") + 1).alias("to"))
+    others = wanted.where(F.col("end") - F.col("start") <= max_bytes).withColumn("cell", int_div(F.col("byte"), width))
+    held = (F.col("low") <= F.col("byte")) & (F.col("byte") < F.col("high"))
+    steps = others.join(cells, "cell").where(held).select("idx", "to").union(own.where(F.col("to") < n))
+    steps, found = cut_lineage(steps, "steps"), rows.where("idx = 0").select("idx")
+    while True:
+        further = found.join(steps, "idx").select(F.col("to").alias("idx"))
+        grown = cut_lineage(found.union(further).distinct(), "starts")
+        if grown.count() == found.count():
+            return grown
+        found = grown
+        ahead = steps.select(F.col("idx").alias("to"), F.col("to").alias("beyond"))
+        steps = cut_lineage(steps.join(ahead, "to").select("idx", F.col("beyond").alias("to")), "steps")
 
 
 def first_n_per_key(df: DataFrame, key: list[str], order: list, n: int) -> DataFrame:

@@ -200,10 +200,10 @@ def write_image_shards(
     plan = shard_plan(fresh, size, seed).withColumn("shard", F.col("shard") + last)
     name = F.format_string(fv.SHARD_NAME, F.col("shard"), shards)
     plan = cut_lineage(plan.withColumn("shard_name", name), "shards")
-    # a fixed number of tasks: the rows are small but the bytes read for them are not,
-    # so small partitions must not be merged
-    tasks = max(1, plan.select("shard").distinct().count())
-    ordered = plan.repartition(tasks, "shard").sortWithinPartitions("shard", "idx")
+    # the shard itself names the task: no two shards share one, and small partitions are not merged
+    first, tasks = plan.agg(F.min("shard"), F.count_distinct("shard")).head()
+    ordered = plan.repartitionById(max(1, tasks), (F.col("shard") - F.lit(first or 0)).cast("int"))
+    ordered = ordered.sortWithinPartitions("shard", "idx")
     rows = attach_bytes(
         ordered.select(
             "filename", "label", "subreddit", "post_date", "reddit_id", "shard", "location"

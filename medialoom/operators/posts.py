@@ -124,6 +124,19 @@ def new_posts(found: DataFrame, metadata: DataFrame) -> DataFrame:
     return found.join(metadata.select("filename"), "filename", "left_anti")
 
 
+def known_since(metadata: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """Metadata whose post may be at or after the cut-off of its source, by the day in its name.
+
+    Names without a day, and sources without a cut-off, are kept: a name is only left out if no
+    post that passes the cut-off can have it.
+    """
+    days = F.regexp_extract_all("filename", F.lit(r"(\d{4}-\d{2}-\d{2})"), F.lit(1))
+    bounds = cutoffs.select("key", day_text(F.col("cutoff")).alias("_since"))
+    joined = metadata.withColumn("key", F.lower("subreddit")).join(bounds, "key", "left")
+    before = (F.size(days) > 0) & (F.array_max(days) < F.col("_since"))
+    return joined.filter(~F.coalesce(before, F.lit(False))).drop("_since")
+
+
 def post_metadata_rows(posts: DataFrame, frames: int = fv.POST_FRAMES) -> DataFrame:
     """Metadata rows of new posts: one per image, one per frame of a video."""
     names = F.when(F.col("route") == "image", F.array("filename")).otherwise(

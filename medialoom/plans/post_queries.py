@@ -242,6 +242,24 @@ def _(t):
     return read_table(t.spark, folder + "/metadata", schemas.POST_METADATA)
 
 
+@query("stream_new_posts_restarted", VIEWS, ALL + f"select * from known_posts union all select * from ({ROWS})")
+def _(t):
+    """The newest events first, one file a batch; half way the run goes on under another clock."""
+    folder, events = scratch_folder(t.spark, "ingest"), t.table("events")
+    append_table(t.view("known_posts"), folder + "/metadata")
+    second = F.unix_timestamp("ts")
+    cuts = events.select(second.alias("s")).approxQuantile("s", [0.25, 0.5, 0.75], 0.01)
+    part = sum((F.when(second >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+    for now, parts in ((NOW, (3, 2)), (NOW + dt.timedelta(days=500), (1, 0))):
+        for k in parts:
+            append_table(events.filter(part == k).coalesce(1), folder + "/events")
+        stream = streams.file_stream(t.spark, folder + "/events", events.schema, per_batch=1)
+        arriving = as_posts(t.spark.sql(BINDINGS["posts"], events=stream))
+        running = streams.stream_new_posts(arriving, sources(t), folder + "/metadata", folder + "/state", now)
+        running.awaitTermination()
+    return read_table(t.spark, folder + "/metadata", schemas.POST_METADATA)
+
+
 @query("dedup_stream", "posts", "select distinct id from posts")
 def _(t):
     return collect_stream(streams.dedup_stream(post_stream(t)).select("id"), t, "dedup")

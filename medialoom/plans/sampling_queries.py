@@ -275,7 +275,8 @@ def _(t):
     "select MaskPath, row_number() over (order by ord) - 1 as idx from segmentations",
 )
 def _(t):
-    return num.ordered_index(t.view("segmentations"), ["ord"]).select("MaskPath", "idx")
+    rows = t.view("segmentations").select("MaskPath", "ord")  # what is numbered is written: no more columns
+    return num.ordered_index(rows, ["ord"]).select("MaskPath", "idx")
 
 
 @query(

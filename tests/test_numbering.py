@@ -38,6 +38,19 @@ def test_ordered_index(spark, n, parts):
     assert got == {name: i for i, name in enumerate(sorted(f"f{k}" for k in range(n)))}
 
 
+@pytest.mark.parametrize("n", [500, 4000])
+def test_range_buckets_follow_the_rows(spark, n):
+    """As many range partitions as the rows ask for, none of them much larger than asked."""
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("k")).repartition(3)
+    ranged = num.in_ranges(df, ["k"], bucket_rows=100)
+    sizes = [r["count"] for r in ranged.groupBy("_bucket").count().collect()]
+    assert 0.8 * n / 100 <= len(sizes) <= n / 100 and max(sizes) < 300
+    got = [(r.k, r.idx) for r in num.ordered_index(df, ["k"], bucket_rows=100).collect()]
+    assert sorted(got) == [(i, i) for i in range(n)]
+    sums = num.ordered_index(df, ["k"], "i", {"total": F.col("k")}, 100).collect()
+    assert all(r.i == r.k and r.total == r.k * (r.k + 1) // 2 for r in sums)
+
+
 def test_ordered_index_on_two_columns(spark):
     pairs = [(a, b) for a in range(20) for b in range(20)]
     df = spark.createDataFrame(pairs, "a int, b int").repartition(6)
@@ -57,15 +70,24 @@ def test_fixed_shards(spark, n):
     }
 
 
-def test_running_bytes(spark):
-    sizes = {k: (k * 37) % 101 for k in range(300)}
+@pytest.mark.parametrize("cap", [1, 60, 101, 350, 10_000, 10**9])
+def test_shards_never_pass_the_cap(spark, cap):
+    sizes = {k: 0 if k % 11 == 0 else (k * 37) % 101 if k % 50 else 700 for k in range(300)} | {300: None}
     df = spark.createDataFrame(list(sizes.items()), "k int, size bigint").repartition(5)
-    got = {r.k: (r.bytes_to_here, r.shard) for r in num.size_bounded_shards(df, ["k"], "size", 1000).collect()}
-    total, expected = 0, {}
-    for k in sorted(sizes, key=lambda k: (md5(f"42|{k}"), k)):
-        expected[k] = (total + sizes[k], total // 1000)
-        total += sizes[k]
+    got = {r.k: (r.bytes_to_here, r.shard) for r in num.size_bounded_shards(df, ["k"], "size", cap).collect()}
+    total, shard, filled, expected = 0, 0, 0, {}
+    for i, k in enumerate(sorted(sizes, key=lambda k: (md5(f"42|{k}"), k))):
+        size = sizes[k] or 0
+        if i and filled + size > cap:
+            shard, filled = shard + 1, 0
+        total, filled = total + size, filled + size
+        expected[k] = (total, shard)
     assert got == expected
+    held = {}
+    for k, (_, s) in got.items():
+        held.setdefault(s, []).append(sizes[k] or 0)
+    assert all(sum(x) <= cap or sum(1 for v in x if v) == 1 for x in held.values())
+    assert num.size_bounded_shards(df.filter("k < 0"), ["k"], "size", cap).count() == 0
 
 
 def test_cyclic_prompts_read_the_pool_round_by_round(spark):

@@ -120,22 +120,78 @@ def test_stream_equals_batch_and_survives_restarts(spark, posts, metadata, sourc
     assert sorted(map(repr, stored.collect())) == sorted(map(repr, batch.collect()))
 
 
+def made_posts(spark, rows):
+    made = spark.createDataFrame(rows, "id string, source string, created_utc timestamp, url string")
+    return made.select(*[
+        made[f.name] if f.name in made.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in spark.createDataFrame([], SCHEMA).schema
+    ])
+
+
+def test_an_ended_run_moves_the_cutoffs_on(spark, sources, tmp_path):
+    incoming, meta, state = folder(tmp_path), folder(tmp_path), folder(tmp_path)
+    name = sources.select("source").first()[0]
+    days = [NOW - dt.timedelta(days=d) for d in (2, 5, 2, 1)]
+    every = made_posts(spark, [(f"q{i}", name, t, "http://x/a.jpg") for i, t in enumerate(days)])
+
+    def run(now):
+        stream = streams.file_stream(spark, incoming, SCHEMA, per_batch=1)
+        query = streams.stream_new_posts(stream, sources, meta, state, now)
+        query.awaitTermination()
+        return query
+
+    append_table(every.filter("id = 'q0'").coalesce(1), incoming)
+    run(NOW)
+    streams.end_run(spark, state)
+    # q1 lies before the newest stored day now, q2 on it, q3 after it; q0 comes again
+    append_table(every.coalesce(1), incoming)
+    query = run(NOW + dt.timedelta(days=3))
+    ids = [r.reddit_id for r in read_table(spark, meta, schemas.POST_METADATA).collect()]
+    assert sorted(ids) == ["q0", "q2", "q3"]
+    append_table(every.coalesce(1), incoming)
+    run(NOW + dt.timedelta(days=9))
+    assert read_table(spark, meta, schemas.POST_METADATA).count() == 3
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] > 0
+
+
+def test_only_the_first_batch_reads_the_metadata(spark, sources, tmp_path, monkeypatch):
+    incoming, meta, state = folder(tmp_path), folder(tmp_path), folder(tmp_path)
+    name = sources.select("source").first()[0]
+    every = made_posts(spark, [(f"q{i}", name, NOW - dt.timedelta(days=i), "http://x/a.jpg") for i in range(4)])
+    for i in range(4):
+        append_table(every.filter(f"id = 'q{i}'").coalesce(1), incoming)
+    read, plain = [], streams.read_table
+    monkeypatch.setattr(streams, "read_table", lambda s, path, schema: read.append(path) or plain(s, path, schema))
+    stream = streams.file_stream(spark, incoming, SCHEMA, per_batch=1)
+    query = streams.stream_new_posts(stream, sources, meta, state, NOW)
+    query.awaitTermination()
+    assert plain(spark, meta, schemas.POST_METADATA).count() == 4
+    assert len(query.recentProgress) >= 4 and read.count(meta) == 2  # when the run begins, and for the first batch
+
+
+def test_names_that_can_pass_a_cutoff(spark):
+    kept = [
+        ("reddit_a_2024-03-05_x.jpg", "A"), ("reddit_a_2024-03-09_x.jpg", "a"), ("odd.jpg", "a"), ("reddit_z_2020-01-01_x.jpg", "z"),
+        ("reddit_a_2024-01-01_2025-01-01.jpg", "a"),
+    ]
+    rows = [*kept, ("reddit_a_2024-03-04_x.jpg", "a")]
+    metadata = spark.createDataFrame(rows, "filename string, subreddit string")
+    cutoffs = spark.createDataFrame([("a", day("2024-03-05 12:00:00"))], "key string, cutoff timestamp")
+    assert sorted(r.filename for r in ops.known_since(metadata, cutoffs).collect()) == sorted(n for n, _ in kept)
+
+
 def test_cutoffs_hold_for_a_whole_run(spark, sources, tmp_path):
-    """Newer posts that are read first don't hide older ones, also after a restart."""
+    """Newer posts that are read first don't hide older ones, also after a restart under another clock."""
     incoming, meta, state = folder(tmp_path), folder(tmp_path), folder(tmp_path)
     empty = spark.createDataFrame([], schemas.POST_METADATA)
     name = sources.select("source").first()[0]
     days = [NOW - dt.timedelta(days=d) for d in (1, 2, 3, 4)]
     rows = [(f"q{i}", name, t, "http://x/a.jpg") for i, t in enumerate(days)]
-    made = spark.createDataFrame(rows, "id string, source string, created_utc timestamp, url string")
-    every = made.select(*[
-        made[f.name] if f.name in made.columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in spark.createDataFrame([], SCHEMA).schema
-    ])
-    for part in ("id = 'q0'", "id in ('q1', 'q2')", "id = 'q3'"):  # the second call is a restart
+    every = made_posts(spark, rows)
+    for i, part in enumerate(("id = 'q0'", "id in ('q1', 'q2')", "id = 'q3'")):  # the second call is a restart
         append_table(every.filter(part).coalesce(1), incoming)
         stream = streams.file_stream(spark, incoming, SCHEMA, per_batch=1)
-        streams.stream_new_posts(stream, sources, meta, state, NOW).awaitTermination()
+        streams.stream_new_posts(stream, sources, meta, state, NOW + dt.timedelta(days=i)).awaitTermination()
     stored = read_table(spark, meta, schemas.POST_METADATA)
     assert sorted(r.reddit_id for r in stored.collect()) == ["q0", "q1", "q2", "q3"]
     assert stored.count() == ops.ingest(every, empty, sources, NOW).count()
