@@ -260,6 +260,8 @@ def learning_rows(docs: DataFrame, held_out: Column) -> list[tuple[bytes, str]]:
         F.shiftleft(F.floor(share * float(2**53)), 11).bitwiseXOR(F.lit(-(2**63)))
     )
     bounds = languages.select(F.col("lang").alias("of"), top.alias("top"))
+    if n <= BUDGET:  # a row for each language: texts beyond their bound go before any shuffle
+        bounds = F.broadcast(bounds)
     given = known.select("lang", "text", F.xxhash64("text").alias("hash"))
     low = given.join(bounds, F.col("lang") == F.col("of")).where("hash <= top")
     order = Window.partitionBy("lang").orderBy("hash", "text")
