@@ -40,17 +40,24 @@ def match_files_to_models(files: DataFrame, registry: DataFrame) -> DataFrame:
     """Model of each file by the longest registered name that leaves a valid tail.
 
     A name leaves a valid tail only if it is one of the two stems of the file, so
-    the prefix search is two equality joins; the plain stem is the longer one.
+    the prefix search is two equality joins; the plain stem is the longer one. A file without
+    a stem, and in the second join one that is matched, is joined on its own name under
+    another mark, which no registered name has: it meets nothing and shares no task with the others.
     """
-    names = model_names(registry)
-    plain = names.select(F.col("stem").alias("plain_stem"), F.col("model").alias("_plain"))
-    dated = names.select(F.col("stem").alias("dated_stem"), F.col("model").alias("_dated"))
+
+    def key(stem: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("s"), stem), F.concat(F.lit("f"), F.col("filename")))
+
+    names = model_names(registry).select(F.concat(F.lit("s"), "stem").alias("_stem"), "model")
     parsed = parse_generated_filename(files)
-    joined = parsed.join(plain, "plain_stem", "left")
-    joined = joined.join(dated, "dated_stem", "left")
+    plain = names.withColumnRenamed("model", "_plain")
+    joined = parsed.withColumn("_stem", key(F.col("plain_stem"))).join(plain, "_stem", "left")
+    open_stem = F.when(F.col("_plain").isNull(), F.col("dated_stem"))
+    dated = names.withColumnRenamed("model", "_dated")
+    joined = joined.withColumn("_stem", key(open_stem)).join(dated, "_stem", "left")
     return joined.withColumn("model", F.coalesce("_plain", "_dated")).withColumn(
-        "date", F.when(F.col("_plain").isNull() & F.col("_dated").isNotNull(), F.col("file_date"))
-    ).drop("_plain", "_dated", "plain_stem", "dated_stem", "file_date")
+        "date", F.when(F.col("_dated").isNotNull(), F.col("file_date"))
+    ).drop("_plain", "_dated", "_stem", "plain_stem", "dated_stem", "file_date")
 
 
 def untracked_files(files: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from medialoom.operators import scoring
 from medialoom.plans.bindings import Tables
 from medialoom.plans.catalogue_queries import catalogue
 from medialoom.plans.registered import query
+from medialoom.session import scratch_folder
 
 # --- classifier scores ------------------------------------------------------
 
@@ -397,6 +398,30 @@ matched as (
   select s.filename, h.model,
     nullif(regexp_extract(h.tail, '^_(\\d{{4}}-\\d{{2}}-\\d{{2}})_\\d+$', 1), '') as date
   from stems s left join (select * from hits where rn = 1) h on s.filename = h.filename)"""
+@query(
+    "merged_summary",
+    "image_rows",
+    """select 'label' as "column", label as value, count(*) as rows, true as near from image_rows group by label
+union all select 'model', model, count(*), true from image_rows group by model
+union all select 'distinct filename', null, count(distinct filename), true from image_rows""",
+)
+def _(t):
+    """Eight runs, one of them repeated; the estimate is held to 2 % of the exact number."""
+    rows, folder = t.view("image_rows"), scratch_folder(t.spark, "summaries")
+    for run in (*range(8), 3):
+        part = rows.filter(F.pmod("doc_id", F.lit(8)) == run)
+        pack.write_summary(pack.summary_increment(part, "filename", ["label", "model"]), folder, f"run{run}")
+    merged = pack.merged_summary(pack.read_summaries(t.spark, folder))
+    exact = rows.agg(F.count_distinct("filename").alias("exact")).withColumn("column", F.lit("distinct filename"))
+    sketched = F.col("column") == "distinct filename"
+    near = F.abs(F.col("rows") - F.col("exact")) <= F.col("exact") * 0.02
+    return merged.join(exact, "column", "left").select(
+        "column", "value",
+        F.when(sketched, F.col("exact")).otherwise(F.col("rows")).alias("rows"),
+        F.when(sketched, near).otherwise(True).alias("near"),
+    )
+
+
 UNTRACKED = """untracked as (
   select filename from generated_files
   where filename like '%.png' and filename not in (select filename from tracked_files))"""

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from medialoom.functions.columns import base_name
 from medialoom.session import cut_lineage
 
-PIECES = 64  # an archive is read by up to this many tasks
+PIECE_BYTES = 256 * 2**20  # unpacked bytes of an archive after which another task goes on
 BATCH_BYTES = 16 * 2**20  # contents that leave a task together
 READ = ["archive", "path", "content", "error"]
+CONTENTS = "location string, archive string, member string, bytes long, place long, piece int, error string"
 #: What a damaged member raises: a bad header or check sum, a broken or unknown compression.
 DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 
@@ -32,10 +33,13 @@ def _open(location: str) -> zipfile.ZipFile:
     return zipfile.ZipFile(system.open_input_file(path))
 
 
-def archive_members(archives: DataFrame) -> DataFrame:
-    """(location, archive, member, error): the table of contents of every archive.
+def archive_contents(archives: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """(location, archive, member, bytes, place, piece, error): the tables of contents.
 
-    A corrupt archive gives one row with the error and no member.
+    ``place`` is where a member begins; the members of an archive in that order fall into
+    pieces of about ``piece_bytes`` unpacked bytes. A corrupt archive gives one row with the
+    error and no member. Its names are few beside its bytes, so the number of tasks is the
+    session's and is not cut down to the size of the rows.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -43,14 +47,23 @@ def archive_members(archives: DataFrame) -> DataFrame:
             for a in frame.itertuples(index=False):
                 try:
                     with _open(a.location) as z:
-                        names, error = [n for n in z.namelist() if not n.endswith("/")], None
+                        held = sorted((i.header_offset, i.filename, i.file_size) for i in z.infolist() if not i.is_dir())
                 except (zipfile.BadZipFile, ArrowInvalid) as bad:
-                    names, error = [None], str(bad)
-                yield pd.DataFrame(
-                    {"location": a.location, "archive": a.archive, "member": names, "error": error}
-                )
+                    yield pd.DataFrame([(a.location, a.archive, None, None, None, None, str(bad))], columns=names, dtype=object)
+                    continue
+                found = pd.DataFrame(held, columns=["place", "member", "bytes"])
+                before = found["bytes"].cumsum() - found["bytes"]
+                found = found.assign(location=a.location, archive=a.archive, piece=before // piece_bytes, error=None)
+                yield found[names].astype({"place": "int64", "bytes": "int64", "piece": "int32"})
+
+    names = [c.split()[0] for c in CONTENTS.split(", ")]
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return archives.select("location", "archive").repartition(tasks, "location").mapInPandas(run, CONTENTS)
 
-    return archives.repartition("location").mapInPandas(run, "location string, archive string, member string, error string")
+
+def archive_members(archives: DataFrame) -> DataFrame:
+    """(location, archive, member, error): the table of contents of every archive."""
+    return archive_contents(archives).select("location", "archive", "member", "error")
 
 
 def needed_in_archive(members: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -71,26 +84,13 @@ def found_members(members: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.select("MaskPath").intersect(members.select(F.col("member").alias("MaskPath")))
 
 
-def extract_archive_members(
-    archives: DataFrame, wanted: DataFrame, pieces: int = PIECES
-) -> tuple[DataFrame, DataFrame]:
-    """Content of the wanted members, and what could not be read: (archive, member, error).
+def read_members(chosen: DataFrame, with_content: bool = True) -> DataFrame:
+    """(archive, path, content, error) of chosen rows of ``archive_contents``, as a stream.
 
-    The members are chosen from the tables of contents. Each archive is then read in
-    pieces, so that one that holds most of the members is the work of many tasks. A
-    damaged member has an error instead of content; an archive without a readable table
-    of contents has an error and no member. What is read is written to the shared folder,
-    because both results come from it.
+    Each piece of an archive is read by one task from front to back; there are as many tasks
+    as pieces. A damaged member has an error instead of content. Without content members
+    are read and checked, and nothing but errors leaves the tasks.
     """
-    members = archive_members(archives)
-    chosen = needed_in_archive(members, wanted).select("location", "archive", "member")
-    piece = F.pmod(F.xxhash64("member"), F.lit(pieces)).cast("int")
-    spread = (
-        chosen.withColumn("piece", piece)
-        .repartition("location", "piece")
-        .sortWithinPartitions("location", "member")
-        .drop("piece")
-    )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         opened, place = None, None
@@ -105,6 +105,8 @@ def extract_archive_members(
                     content, error = opened.read(m.member), None
                 except DAMAGE as bad:
                     content, error = None, str(bad)
+                if not with_content:
+                    content = None
                 held.append((m.archive, m.member, content, error))
                 size += len(content or b"")
                 if size >= BATCH_BYTES:
@@ -115,10 +117,27 @@ def extract_archive_members(
         if opened:
             opened.close()
 
-    kinds = "archive string, path string, content binary, error string"
-    read = cut_lineage(spread.mapInPandas(run, kinds), "members")
-    content = read.filter(F.col("error").isNull()).select("archive", "path", "content")
-    damaged = read.filter(F.col("error").isNotNull()).select(
+    tasks = chosen.select("location", "piece").distinct().count()
+    spread = chosen.select("location", "archive", "member", "place", "piece").repartition(max(1, tasks), "location", "piece")
+    in_order = spread.sortWithinPartitions("location", "place")
+    return in_order.mapInPandas(run, "archive string, path string, content binary, error string")
+
+
+def extract_archive_members(
+    archives: DataFrame, wanted: DataFrame, piece_bytes: int = PIECE_BYTES
+) -> tuple[DataFrame, DataFrame]:
+    """Content of the wanted members, and what could not be read: (archive, member, error).
+
+    Only the tables of contents are written to the shared folder; content goes from the
+    archives to whoever takes it. So an archive that holds most of the bytes is the work of as
+    many tasks as it has pieces. Asking for what could not be read checks the members by a
+    reading of its own; ``read_members`` gives content and errors from one. An archive
+    without a readable table of contents has an error and no member.
+    """
+    members = cut_lineage(archive_contents(archives, piece_bytes), "members")
+    chosen = needed_in_archive(members, wanted)
+    content = read_members(chosen).filter(F.col("error").isNull()).select("archive", "path", "content")
+    damaged = read_members(chosen, with_content=False).filter(F.col("error").isNotNull()).select(
         "archive", F.col("path").alias("member"), "error"
     )
     unread = members.filter(F.col("error").isNotNull()).select("archive", "member", "error")

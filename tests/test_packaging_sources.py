@@ -1,5 +1,6 @@
 import json
 import zipfile
+from collections import Counter
 
 import pandas as pd
 import pytest
@@ -110,12 +111,17 @@ def test_archives(spark, tmp_path):
     (tmp_path / "train-masks-d.zip").write_bytes(bytes(spoiled))
     wanted = spark.createDataFrame([(f"a{i}.png",) for i in range(0, 30, 2)] + [("b0.png",), ("c.png",), ("d0.png",), ("d1.png",)], "MaskPath string")
     listed = archives.list_archives(spark, str(tmp_path))
-    content, broken = archives.extract_archive_members(listed, wanted, pieces=4)
+    content, broken = archives.extract_archive_members(listed, wanted, piece_bytes=8)
     got = {r.path: bytes(r.content) for r in content.collect()}
     assert got == {**{f"a{i}.png": bytes([i]) for i in range(0, 30, 2)}, "b0.png": b"zero", "d0.png": b"fine"}
     assert sorted((r.archive, r.member) for r in broken.collect()) == [
         ("train-masks-c.zip", None), ("train-masks-d.zip", "d1.png"),
     ]
+    contents = archives.archive_contents(listed, piece_bytes=8).filter("archive = 'train-masks-a.zip'").orderBy("place").collect()
+    assert [(r.member, r.bytes, r.piece) for r in contents] == [(f"a{i}.png", 1, i // 8) for i in range(30)]
+    assert content.rdd.getNumPartitions() >= 4  # a task for each piece
+    written = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in content.inputFiles()})
+    assert "content" not in written.columns
     members = archives.archive_members(listed)
     assert [r.MaskPath for r in archives.not_found(members, wanted).collect()] == ["c.png"]
 
@@ -269,6 +275,29 @@ MATCHES = {
 }
 
 
+def test_summary_of_runs(spark, tmp_path):
+    """Increments add up to the summary of all rows; a repeated run replaces itself."""
+    path = str(tmp_path / "summary")
+    rows = spark.range(40_000).select(
+        F.format_string("user%d", F.col("id") % 30_000).alias("author"),
+        F.when(F.col("id") % 7 != 0, F.col("id") % 3).cast("string").alias("label"),
+        (F.col("id") % 4).alias("run"),
+    )
+    assert pack.merged_summary(pack.read_summaries(spark, path)).count() == 0
+    for run in (0, 1, 2, 3, 2):
+        pack.write_summary(pack.summary_increment(rows.filter(F.col("run") == run), "author", ["label"]), path, f"r{run}")
+    got = {(r.column, r.value): r.rows for r in pack.merged_summary(pack.read_summaries(spark, path)).collect()}
+    exact = {(r.column, r.value): r.rows for r in pack.dataset_summary(rows, "author", ["label"]).collect()}
+    assert got.keys() == exact.keys()
+    distinct = ("distinct author", None)
+    assert abs(got.pop(distinct) - 30_000) <= 0.02 * 30_000 and exact.pop(distinct) == 30_000
+    assert got == exact
+    nothing = pack.summary_increment(rows.filter("false"), "author", ["label"])
+    pack.write_summary(nothing, path, "r2")  # the run is known, now without rows
+    left = {(r.column, r.value): r.rows for r in pack.merged_summary(pack.read_summaries(spark, path)).collect()}
+    assert left[("label", None)] == rows.filter("label is null and run <> 2").count()
+
+
 def test_match_files_to_models(spark):
     registry = ["org/m", "org/m_2", "org/m_2026-04-08", "a/b_c", "a_b/c", "org/m_2/x", "o/é"]
     reg = spark.createDataFrame([(m, i) for i, m in enumerate(registry)], "model_id string, ord bigint")
@@ -280,6 +309,25 @@ def test_match_files_to_models(spark):
     assert {r.stem: r.models for r in back.name_collisions(reg).collect()} == {"a_b_c": 2}
 
 
+def test_files_without_a_stem_share_no_task(spark):
+    """Two thirds of the files have no stem, the others are matched before the second join."""
+    reg = spark.createDataFrame([("o/m", 0)], "model_id string, ord bigint")
+    names = [f"img_{i}.png" for i in range(600)] + [f"hf_o_m_{i}.png" for i in range(300)] + [None]
+    files = spark.createDataFrame([(n,) for n in names], "filename string")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        matched = back.match_files_to_models(files, reg).withColumn("task", F.spark_partition_id())
+        rows = matched.collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 901 and sum(r.model == "o/m" for r in rows) == 300
+    most = max(Counter(r.task for r in rows).values())
+    assert most < 901 / 3
+
+
 def test_backfill_types(spark):
     reg = spark.createDataFrame([("o/big", 0), ("o/mid", 1), ("o/small", 2)], "model_id string, ord bigint")
     sizes = {"big": 8000, "mid": 4000, "small": 3999}
