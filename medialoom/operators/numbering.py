@@ -79,22 +79,75 @@ def hash_index(
     parts: list[str] = (),
     sums: dict[str, Column] | None = None,
     bucket_rows: int = BUCKET_ROWS,
+    digits: Column | None = None,
 ) -> DataFrame:
     """Position of each row in a seeded shuffle, from 0; key must be unique in parts.
 
     ``sums`` adds running totals in the same order. The first hex digits of the hash
-    make the buckets, as many digits as the number of rows asks for.
+    make the buckets, as many digits as the number of rows asks for, or ``digits`` if they are known.
     """
     parts = list(parts)
-    digits = bucket_digits(df, bucket_rows)
-    hashed = order_hash(seed, *[*parts, *key])
-    with_key = df.withColumn(SHUFFLE_KEY, hashed).withColumn(
-        BUCKET, F.substring(SHUFFLE_KEY, F.lit(1), digits)
-    )
+    digits = bucket_digits(df, bucket_rows) if digits is None else digits
+    with_key = _hashed(df, [*parts, *key], seed, digits)
     numbered = _number(with_key, [SHUFFLE_KEY, *key], parts, index, sums or {})
     return numbered.drop(SHUFFLE_KEY)
 
 
+def _hashed(df: DataFrame, key: list[str], seed: object, digits: Column) -> DataFrame:
+    """``df`` with its shuffle key and bucket."""
+    return df.withColumn(SHUFFLE_KEY, order_hash(seed, *key)).withColumn(
+        BUCKET, F.substring(SHUFFLE_KEY, F.lit(1), digits)
+    )
+
+
+def hashed_total(df: DataFrame, key: list[str], seed: object, digits: Column) -> Column:
+    """Number of rows as a scalar subquery: the sum of the counts that ``hash_index`` takes, so both share one pass."""
+    counted = _hashed(df, key, seed, digits).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar()
+
+
+def ranked_flags(
+    df: DataFrame, flag: str, key: list[str], seed: object, digits: Column, index: str, missed: str
+) -> DataFrame:
+    """The rows of a seeded shuffle whose ``flag`` is true, numbered from 0 in ``index``.
+
+    ``missed`` counts the rows without the flag right before each of them. A bucket is ranked on its
+    own in one window. What it brings to the buckets after it is one row of a table that a
+    pass over the key and the flag makes: how many rows it has of either kind, and how many
+    without the flag lie before its last one with it.
+    """
+    inside = Window.partitionBy(BUCKET).orderBy(SHUFFLE_KEY, *key)
+    here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    ranked = _hashed(df, key, seed, digits).withColumn(
+        "_seen", F.sum(F.col(flag).cast("bigint")).over(here)
+    )
+    ranked = ranked.withColumn("_lost", F.row_number().over(inside) - F.col("_seen"))
+    lost = F.when(F.col(flag), F.col("_lost"))  # grows along the shuffle, so its maximum is its last
+    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (
+        ranked.groupBy(BUCKET)
+        .agg(F.max("_seen").alias("_n"), F.max("_lost").alias("_gone"), F.max(lost).alias("_last"))
+        .withColumn("_start", F.coalesce(F.sum("_gone").over(before), F.lit(0)))
+        .select(
+            BUCKET,
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+            (F.col("_start") - F.coalesce(F.max(F.col("_start") + F.col("_last")).over(before), F.lit(0))).alias("_carried"),
+        )
+    )
+    found = ranked.withColumn("_previous", F.max(lost).over(earlier)).filter(flag)
+    # one row per bucket, at most 65,536
+    numbered = found.join(F.broadcast(buckets), BUCKET, "left").withColumns(
+        {
+            index: F.col("_offset") + F.col("_seen") - 1,
+            missed: F.col("_lost") - F.coalesce(F.col("_previous"), -F.col("_carried")),
+        }
+    )
+    return numbered.drop(
+        BUCKET, SHUFFLE_KEY, "_seen", "_lost", "_previous", "_offset", "_carried"
+    )
+
+
 def in_ranges(df: DataFrame, order: list[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Written rows in the engine's range partitions, sorted, with partition and place in it.
 

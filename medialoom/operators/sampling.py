@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 
 from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import archive_key, hash_number, int_div, order_hash
-from medialoom.operators.numbering import hash_index, ordered_index, row_total
+from medialoom.operators.numbering import (
+    bucket_digits,
+    hash_index,
+    hashed_total,
+    ordered_index,
+    ranked_flags,
+    row_total,
+)
 from medialoom.operators.skew import salted_left_join
-from medialoom.session import cut_lineage
 
 PREFIX = 3  # hex digits of the hash by which a sample counts rows: 4096 groups
 ROUNDS = 4  # half rounds of a permutation
@@ -237,27 +243,15 @@ def _slots(
     """The valid rows with their number in the shuffle, from 0, and how many there are.
 
     ``missing_before`` counts the missing rows that the shuffle holds right before a
-    valid one.
+    valid one. There are as many buckets as all rows ask for, which is known without a join.
     """
+    digits, valid = bucket_digits(rows), valid_masks(rows, files)
     if not with_missing:
-        valid = cut_lineage(valid_masks(rows, files), "valid")
-        return hash_index(valid, key, seed, index="slot"), row_total(valid)
-    flagged = cut_lineage(flag_masks(rows, files, key), "flagged")
-    numbered = hash_index(
-        flagged, key, seed, index="_pos", sums={"_seen": F.col("valid").cast("bigint")}
-    )
-    valid = numbered.filter("valid").select(
-        (F.col("_seen") - 1).alias("slot"),
-        (F.col("_pos") - F.col("_seen") + 1).alias("_missing"),
-        *rows.columns,
-    )
-    earlier = valid.select((F.col("slot") + 1).alias("slot"), F.col("_missing").alias("_before"))
-    slots = (
-        valid.join(earlier, "slot", "left")
-        .withColumn("missing_before", F.col("_missing") - F.coalesce("_before", F.lit(0)))
-        .drop("_missing", "_before")
-    )
-    return slots, row_total(flagged.filter("valid"))
+        slots = hash_index(valid, key, seed, "slot", digits=digits)
+        return slots, hashed_total(valid, key, seed, digits)
+    flagged = flag_masks(rows, files, key)
+    slots = ranked_flags(flagged, "valid", key, seed, digits, "slot", "missing_before")
+    return slots.drop("valid"), row_total(valid)
 
 
 def sample_per_model(
@@ -273,9 +267,9 @@ def sample_per_model(
     The rows are shuffled once and the valid ones numbered. Each model has its own
     permutation of the numbers and takes what its first ``target`` ranks are sent to. The work is
     one shuffle of the rows plus the sampled rows; no model is paired with rows it
-    does not take. The checked rows are written once to the shared folder, because
-    counting and numbering both read them. ``with_missing`` adds what the sampling
-    report needs: how many missing rows a reader of the shuffle meets before each row.
+    does not take. Nothing is written: buckets are counted in a pass over keys and paths alone.
+    ``with_missing`` adds what the sampling report needs: how many missing rows a reader of
+    the shuffle meets before each row.
     """
     slots, valid_count = _slots(rows, files, key, seed, with_missing)
     ranks = (

@@ -221,6 +221,36 @@ def test_sampling_report_counts_the_missing_rows_on_the_way(spark):
     ]
 
 
+@pytest.mark.parametrize("every", [1, 2, 40, 150, 1000])
+@pytest.mark.parametrize("digits", [1, 2])
+def test_ranked_flags_carry_over_buckets(spark, every, digits):
+    # with few flags most buckets hold none, so the count before a row spans several of them
+    rows = spark.range(300).select(
+        F.col("id").alias("k"), (F.col("id") % every == every - 1).alias("there")
+    )
+    got = num.ranked_flags(rows, "there", ["k"], 5, F.lit(digits), "slot", "missed").collect()
+    want, gap = [], 0
+    for k in sorted(range(300), key=lambda k: (md5(f"5|{k}"), k)):
+        if k % every == every - 1:
+            want.append((len(want), k, gap))
+            gap = 0
+        else:
+            gap += 1
+    assert sorted((r.slot, r.k, r.missed) for r in got) == want
+
+
+def test_a_sample_writes_nothing(spark, tmp_path):
+    data, files, models = sample_inputs(spark)
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        for with_missing in (False, True):
+            assert smp.sample_per_model(models, data, files, ["ord"], with_missing=with_missing).count() == 370
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+    assert not list(tmp_path.iterdir())
+
+
 def test_sample_without_any_mask(spark):
     data, _, models = sample_inputs(spark)
     nothing = spark.createDataFrame([], "path string")
