@@ -187,6 +187,11 @@ BINDINGS: dict[str, str] = {
         select cast(l_suppkey as string) as ImageID, min(substr({LINE_KEY}, 1, 12) || '.png') as MaskPath,
                cast(l_suppkey as string) as LabelName, min({LINE_KEY}) as ord
         from {{lineitem}} group by l_suppkey""",
+    # one row per part and flag: at sf0.01 fewer than the largest quotas, more than the others
+    "part_rows": f"""
+        select cast(l_partkey as string) as ImageID, min(substr({LINE_KEY}, 1, 12) || '.png') as MaskPath,
+               l_returnflag as LabelName, min({LINE_KEY}) as ord
+        from {{lineitem}} group by l_partkey, l_returnflag""",
     # feed posts in six shapes; the last has no url
     "feed_rows": """
         select event_id, case event_id % 6

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medialoom.plans import flows
+from medialoom.plans.bindings import Tables
 from medialoom.plans.catalogue_queries import BAD, FINAL, cat_sql, catalogue
 from medialoom.plans.packaging_queries import scores
 from medialoom.plans.registered import query
-from medialoom.plans.sampling_queries import SAMPLED, VIEWS, permutation
+from medialoom.plans.sampling_queries import MODELS, NUMBERED, SAMPLE, VIEWS, permutation
 
 DATE = "2026-04-08"
+SHORT_VIEWS = VIEWS.replace("segmentations", "part_rows")
 
 GENERATE = (
     cat_sql().rstrip()
@@ -57,45 +60,80 @@ def _(t):
     )
 
 
-@query(
-    "inpaint_round",
-    VIEWS,
-    SAMPLED
-    + """, ready as (
-  select m.*, case when target >= 10000 then 10 when target >= 5000 then 5 else 3 end as tasks
-  from models m join quotas q using (id) where q.type <> 'LoRA' or q.base <> 'None')
+def round_sql(rows: str) -> str:
+    """Terms of a repainting round over the prompts of a view: ``ready`` models and how many rows each
+    has at most; quotas that these rows can't fill take no part and are reported."""
+    terms = ",\n".join([MODELS, NUMBERED.replace("from segmentations s", f"from {rows} s")])
+    return (
+        cat_sql(1).rstrip()
+        + f""",
+{terms},
+ready as (
+  select m.id, m.type, m.target, n as valid,
+    case when m.target >= 10000 then 10 when m.target >= 5000 then 5 else 3 end as tasks
+  from models m join quotas q using (id), (select count(*) as n from valid_rows)
+  where q.type <> 'LoRA' or q.base <> 'None')"""
+    )
+
+
+def manifest_sql(rows: str) -> str:
+    return (
+        round_sql(rows)
+        + f""",
+{SAMPLE}
 select s.id, r.type, least(s.rank // (r.target // r.tasks), r.tasks - 1) as task, count(*) as rows,
   min(MaskPath) as first_mask
-from sample s join ready r on s.id = r.id group by all""".replace("select m.*,", "select m.id, m.type, m.target,").replace("case when target >= 10000", "case when m.target >= 10000").replace("when target >= 5000", "when m.target >= 5000"),
-)
-def _(t):
-    work = flows.inpaint_round(
-        catalogue(t), t.view("registry"), t.view("segmentations"), t.view("mask_files"), ["ord"], DATE
-    )
-    return work.manifest.groupBy("id", "type", "task").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("MaskPath").alias("first_mask")
+from sample s join ready r on s.id = r.id where r.target <= r.valid group by all"""
     )
 
 
-@query(
-    "round_registry_changes",
-    "catalogue_rows registry",
-    cat_sql(1).rstrip()
-    + f""",
-top as (select * from quotas order by downloads desc, id limit 1000),
+def changes_sql(rows: str) -> str:
+    return (
+        round_sql(rows)
+        + f""",
 looked_at as (select * from top where downloads >= 30000 and id not in ({FINAL}))
 select id as model_id, 'MODEL_FAULT' as status,
   case when {BAD['inpaint']} then 'Incompatible task: ' || pipeline_tag
     when not weights then 'No safetensors found' else 'Missing base model dependency' end as reason,
   '{DATE}' as date
-from looked_at where {BAD['inpaint']} or not weights or (type = 'LoRA' and base = 'None')""",
-)
-def _(t):
-    # one mask per line and quotas below their number: no model falls short here
-    work = flows.inpaint_round(
-        catalogue(t), t.view("registry"), t.view("segmentations"), t.view("mask_files"), ["ord"], DATE
+from looked_at where {BAD['inpaint']} or not weights or (type = 'LoRA' and base = 'None')
+union all
+select id, 'INFRASTRUCTURE_FAULT', 'Only ' || valid || ' masks available, need ' || target, '{DATE}'
+from ready where valid < target"""
+    )
+
+
+def repainting(t: Tables, rows: str) -> flows.Round:
+    return flows.inpaint_round(
+        catalogue(t), t.view("registry"), t.view(rows), t.view("mask_files"), ["ord"], DATE
     )
-    return work.registry_changes
+
+
+def manifest_summary(work: flows.Round) -> DataFrame:
+    return work.manifest.groupBy("id", "type", "task").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("MaskPath").alias("first_mask")
+    )
+
+
+@query("inpaint_round", VIEWS, manifest_sql("segmentations"))
+def _(t):
+    return manifest_summary(repainting(t, "segmentations"))
+
+
+@query("inpaint_round_short", SHORT_VIEWS, manifest_sql("part_rows"))
+def _(t):
+    # at sf0.01 the largest quotas run short, the others are filled
+    return manifest_summary(repainting(t, "part_rows"))
+
+
+@query("round_registry_changes", VIEWS, changes_sql("segmentations"))
+def _(t):
+    return repainting(t, "segmentations").registry_changes
+
+
+@query("round_registry_changes_short", SHORT_VIEWS, changes_sql("part_rows"))
+def _(t):
+    return repainting(t, "part_rows").registry_changes
 
 
 @query(

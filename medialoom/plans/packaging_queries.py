@@ -73,10 +73,10 @@ def _(t):
 
 
 def upper_case_writer():
-    """Stand-in for a text model: answers in JSON with the first word of the message."""
+    """Stand-in for a text model: answers in JSON with every word of the message."""
 
     def answer(batch: pd.DataFrame) -> list:
-        words = batch["message"].str.extract(r"^([A-Za-z]*)")[0].str.upper()
+        words = batch["message"].str.replace(r"[^A-Za-z]+", " ", regex=True).str.strip().str.upper()
         return [f'Here: {{"prompt": "a {w}"}}' for w in words]
 
     return answer
@@ -85,7 +85,8 @@ def upper_case_writer():
 @query(
     "generate_text",
     "prompt_pool",
-    "select id, trim('a ' || upper(regexp_extract(prompt, '^([A-Za-z]*)', 1))) as generated_prompt from prompt_pool",
+    """select id, trim('a ' || upper(trim(regexp_replace(prompt, '[^A-Za-z]+', ' ', 'g')))) as generated_prompt
+from prompt_pool""",
 )
 def _(t):
     rows = t.view("prompt_pool").select("id", F.col("prompt").alias("message"))
