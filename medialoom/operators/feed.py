@@ -14,7 +14,6 @@ from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import sanitize_filename, truthy
 from medialoom.session import cut_lineage
 
-LEVELS = 4  # nested generations that are read in one step
 ZEROS = ["0", "0.0", "false"]
 
 
@@ -36,7 +35,8 @@ def _first_text(v: Column, *paths: str) -> Column:
 
 def _filled(v: Column) -> Column:
     """The variant if it is an object with members, else null."""
-    return F.when(F.startswith(F.to_json(v), F.lit('{"')), v)
+    members = F.try_variant_get(v, "$", "map<string,variant>")
+    return F.when(F.cardinality(members) > 0, v)
 
 
 # What is read from a post, in one pass over the variant; whatever has another type
@@ -150,6 +150,64 @@ def _level(df: DataFrame, kept: list[str], quality: str, host: str) -> DataFrame
     )
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, inside a lambda too."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _has_url(f: Column, quality: str, host: str) -> Column:
+    """Whether ``_level`` would find a url in these fields."""
+    encoded = [_any(f["encodings"][q]["path"], f["encodings"][q]["url"]) for q in _order(quality)]
+    candidate = _any(f["url"], f["video_url"], f["videoUrl"])
+    usable = F.contains(candidate, F.lit(host)) | F.endswith(candidate, F.lit(".mp4"))
+
+    def of_media(media: Column) -> Column:
+        obj, item = F.try_variant_get(media, "$", MEDIA), _media_item(media)
+        return F.coalesce(
+            _any(obj["url"], obj["path"], obj["source"]), _any(item["url"], item["path"])
+        )
+
+    media = F.coalesce(_filled_any(f["media"]), _filled_any(f["video"]))
+    return F.coalesce(*encoded, F.when(usable, candidate), _let(media, of_media)).isNotNull()
+
+
+def _descended(v: Column, quality: str, host: str) -> Column:
+    """First of a post and the generations nested in it that has a url, null if none has.
+
+    A post can't be deeper than the keys of its own text that open a level; the walk does
+    nothing more once it has ended, so a long list of siblings costs no reading.
+    """
+    most = F.regexp_count(F.to_json(v), F.lit('"generations?"'))
+
+    def onward(state: Column, _: Column) -> Column:
+        def read(f: Column) -> Column:
+            def go(url: Column) -> Column:
+                below = F.when(url, state["v"]).otherwise(_nested(f))
+                return _let(
+                    below, lambda v: F.struct(v.alias("v"), (url | v.isNull()).alias("ended"))
+                )
+
+            return _let(_has_url(f, quality, host), go)
+
+        return F.when(state["ended"], state).otherwise(_let(_fields(state["v"], quality), read))
+
+    start = F.struct(v.alias("v"), v.isNull().alias("ended"))
+    return F.aggregate(F.sequence(F.lit(0), most), start, onward, lambda state: state["v"])
+
+
+def _hits(posts: DataFrame, post: str, quality: str, host: str) -> DataFrame:
+    """What the first level with a url holds in ``_hit``, null if there is none.
+
+    The outermost level is read as plain columns. Only what is open after it is walked down by an
+    expression, and the level that the walk ends at is read like the outermost.
+    """
+    kept = [c for c in posts.columns if c != post]
+    df = _level(posts.withColumnRenamed(post, "_v"), kept, quality, host)
+    still = F.col("_open")
+    below = F.when(still.isNotNull(), _descended(still, quality, host))
+    return _level(_stage(df.withColumnRenamed("_v", "_open"), _v=below), kept, quality, host)
+
+
 def _encoding_state(f: Column, quality: str) -> Column:
     """What the encodings yield: they are read in order up to the first with a url.
 
@@ -194,20 +252,11 @@ def normalize_feed_posts(
 ) -> DataFrame:
     """Row of every post that has a video url, from the post or a generation nested in it.
 
-    The first level with a url is the one that is read. The number of nested generations in
-    the posts says how many levels there can be; after every few, what has been read is
-    written, and reading ends when no post goes on without a url.
+    The first level with a url is the one that is read, however deep it lies. No job runs while
+    the plan is built.
     """
     kept = [c for c in posts.columns if c != post]
-    df = posts.withColumnRenamed(post, "_v")
-    nested = F.regexp_count(F.to_json(post), F.lit('"generations?"'))
-    deepest = posts.agg(F.max(nested)).first()[0] or 0
-    for level in range(deepest + 1):
-        if level and level % LEVELS == 0:
-            df = cut_lineage(df, "feed")
-            if df.filter(F.col("_hit").isNull() & F.col("_v").isNotNull()).isEmpty():
-                break
-        df = _level(df, kept, quality, host)
+    df = _hits(posts, post, quality, host)
     hit = F.col("_hit")
     df = df.withColumn("found", hit.isNotNull())
     if not keep_without_url:
@@ -262,14 +311,13 @@ def post_key(post: Column) -> Column:
 def with_detail_fallback(feed: DataFrame, detail: DataFrame, **options) -> DataFrame:
     """Posts without a url are read again from the detail table (key, detail).
 
-    Only those posts are joined; the others pass through.
+    Only those posts are joined; the others pass through. Posts are read twice, once for their rows and
+    once for those without any url; nothing is written in between.
     """
     keyed = feed.withColumn("_key", post_key(F.col("post")))
-    rows = cut_lineage(normalize_feed_posts(keyed, keep_without_url=True, **options), "found")
-    direct = rows.filter("found").drop("_key")
-    lost = rows.filter(~F.col("found")).select(
-        *[c for c in keyed.columns if c != "post"]
-    )
+    direct = normalize_feed_posts(feed, **options)
+    quality, host = options.get("quality", "source"), options.get("host", fv.FEED_VIDEO_HOST)
+    lost = _hits(keyed, "post", quality, host).filter(F.col("_hit").isNull()).drop("_hit", "_v")
     found = lost.join(
         detail.select(F.col("key").alias("_key"), F.col("detail").alias("post")), "_key"
     )

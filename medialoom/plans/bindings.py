@@ -211,6 +211,18 @@ BINDINGS: dict[str, str] = {
             '", "url": "https://videos.openai.com/v' || n || '", "title": " in/ner? "}}]}}}}'
           else '{{"id": "e' || n || '", "title": "nothing"}}' end as body
         from (select *, cast(event_id as string) as n, cast(user_id as string) as u from {events}) e""",
+    # posts up to twelve generations deep; the deepest lie first in a list of 500, some have no url
+    "deep_feed_rows": """
+        select event_id, repeat('{{"id": "outer", "generation": ', cast(depth as int)) ||
+          case when depth = 12 then '{{"generations": [' || inner_post ||
+            repeat(', {{"generation": 0}}', 499) || ']}}' else inner_post end ||
+          repeat('}}', cast(depth as int)) as body
+        from (
+          select event_id, event_id % 13 as depth, case when event_id % 17 = 0
+            then '{{"id": "e' || cast(event_id as string) || '", "title": "nothing"}}'
+            else '{{"id": "e' || cast(event_id as string) || '", "url": "https://cdn.example.com/' ||
+              cast(event_id as string) || '.mp4"}}' end as inner_post
+          from {events})""",
     # stored details: every second of the posts without a url has one under its id
     "feed_details": """
         select case when event_id % 2 = 1 then 'e' else 'none' end || cast(event_id as string) as key,

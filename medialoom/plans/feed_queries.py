@@ -80,6 +80,20 @@ def _(t):
     return videos(t).select("event_id", *VIDEO_COLUMNS)
 
 
+@query(
+    "normalize_feed_post_deep",
+    "",
+    """select event_id, case when event_id % 17 <> 0 then 'e' || event_id end as id,
+  case when event_id % 17 <> 0 then 'https://cdn.example.com/' || event_id || '.mp4' end as video_url,
+  event_id % 17 <> 0 as found from events""",
+)
+def _(t):
+    deep = t.view("deep_feed_rows").select("event_id", F.parse_json("body").alias("post"))
+    rows = feed.normalize_feed_posts(deep, keep_without_url=True)
+    there = F.col("found")
+    return rows.select("event_id", F.when(there, F.col("id")).alias("id"), "video_url", "found")
+
+
 @query(
     "extract_feed_page",
     "",

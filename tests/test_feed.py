@@ -58,6 +58,25 @@ def test_nesting_of_any_depth(spark):
     assert len(rows) == len(posts) and [r.found for r in rows].count(False) == 1
 
 
+def test_reading_runs_no_job_while_the_plan_is_built(spark, monkeypatch):
+    wide = {"generations": [{"id": "first", "generation": {"id": "in", "url": "x.mp4"}}] + [{"generation": {}}] * 500}
+    posts = parsed(spark, [wide, {"id": "flat", "url": "y.mp4"}, {"generations": [{"generation": {}}] * 500}])
+    details = spark.createDataFrame([("none", "{}")], "key string, j string").select(
+        "key", F.parse_json("j").alias("detail")
+    )
+
+    def refuse(*_, **__):
+        raise AssertionError("a job ran")
+
+    with monkeypatch.context() as patched:
+        for name in ("first", "head", "count", "collect", "isEmpty"):
+            patched.setattr(type(posts), name, refuse)
+        patched.setattr("medialoom.session.scratch_folder", refuse)
+        found = feed.normalize_feed_posts(posts)
+        feed.with_detail_fallback(posts, details)
+    assert sorted(r.id for r in found.collect()) == ["flat", "in"]
+
+
 def test_repeated_pages_count_once(spark):
     pages = [(f"c{i}" if i else None, f"c{i + 1}" if i < 19 else None, '[{"id": %d}]' % i) for i in range(20)]
     stored = spark.createDataFrame(pages * 3, "request_cursor string, next_cursor string, body string").select(
