@@ -21,14 +21,22 @@ from medialoom.operators.numbering import (
 from medialoom.operators.skew import salted_left_join
 
 PREFIX = 3  # hex digits of the hash by which a sample counts rows: 4096 groups
+HEAD_ROWS = 10_000  # rows that one task may merge
 ROUNDS = 4  # half rounds of a permutation
 WALK = 64  # steps back into the range; see permuted
 PRIME = 2**31 - 1
 
 
 def head_rows(df: DataFrame, n: int, order: list) -> DataFrame:
-    """First n rows in the given order."""
-    return df.orderBy(*order).limit(n)
+    """First n rows in the given order, sorted; of rows that tie at the cut any may stay.
+
+    Up to HEAD_ROWS rows are merged from the heads of the tasks. More are numbered in range
+    partitions and cut by number, so that no task holds n rows.
+    """
+    if n <= HEAD_ROWS:
+        return df.orderBy(*order).limit(n)
+    numbered = ordered_index(df, order, index="_head_place")
+    return numbered.filter(F.col("_head_place") < n).orderBy("_head_place").drop("_head_place")
 
 
 def preview(df: DataFrame, order: list, n: int = 5) -> DataFrame:

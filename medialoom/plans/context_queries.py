@@ -200,6 +200,21 @@ def _(t):
     )
 
 
+@query(
+    "head_rows_half",
+    "segmentations",
+    """select ImageID, LabelName, ord from (
+  select *, row_number() over (order by LabelName desc, ord) as place, count(*) over () as n from segmentations)
+where place <= n // 2""",
+)
+def _(t):
+    from medialoom.operators.sampling import head_rows
+
+    rows = t.view("segmentations")
+    first = head_rows(rows, rows.count() // 2, [F.col("LabelName").desc(), "ord"])
+    return first.select("ImageID", "LabelName", "ord")
+
+
 @query(
     "head_rows",
     "segmentations",

@@ -5,10 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
+_watched: list[list[str]] = []  # scratch folders of the open ``scratch_removed`` blocks
+
+
 def local_session(cpus: int | str = "*", **options: str) -> SparkSession:
     """Session for tests and benches on one machine."""
     builder = (
@@ -41,7 +46,29 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="medialoom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    for folders in _watched:
+        folders.append(folder)
+    return folder
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that operators have written to the scratch folder inside the block.
+
+    A result reads them until it has been written, so write it inside the block. They are
+    removed after a failure too; tables from before the block stay.
+    """
+    folders: list[str] = []
+    _watched.append(folders)
+    try:
+        yield
+    finally:
+        # by identity: two open blocks may hold equal lists
+        _watched[:] = [other for other in _watched if other is not folders]
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df, purpose: str = "cut"):

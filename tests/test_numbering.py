@@ -1,5 +1,7 @@
 import hashlib
 import math
+from functools import partial
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from medialoom.operators import context, registry
 from medialoom.operators import numbering as num
 from medialoom.operators import sampling as smp
 from medialoom.operators import skew
+from medialoom.session import cut_lineage, scratch_removed
 
 
 def md5(text):
@@ -239,6 +242,29 @@ def test_ranked_flags_carry_over_buckets(spark, every, digits):
     assert sorted((r.slot, r.k, r.missed) for r in got) == want
 
 
+@pytest.mark.parametrize("n", [0, 9, 10, 11, 250, 499, 500, 900])
+def test_head_rows_on_both_ways(spark, monkeypatch, n):
+    monkeypatch.setattr(smp, "HEAD_ROWS", 10)
+    monkeypatch.setattr(smp, "ordered_index", partial(num.ordered_index, bucket_rows=64))
+    rows = spark.range(500).select((F.col("id") * 7 % 500).alias("k"), (F.col("id") % 3).alias("third"))
+    got = [(r.third, r.k) for r in smp.head_rows(rows, n, [F.col("third").desc(), "k"]).collect()]
+    assert got == sorted(((i % 3, i * 7 % 500) for i in range(500)), key=lambda r: (-r[0], r[1]))[:n]
+
+
+def test_scratch_is_removed_after_its_block(spark, monkeypatch, tmp_path):
+    kept = cut_lineage(spark.range(3), "kept")
+    with pytest.raises(ValueError), scratch_removed(spark):
+        with scratch_removed(spark):
+            inner = cut_lineage(spark.range(5), "inner")
+            inner.write.parquet(str(tmp_path / "out"))
+        outer = cut_lineage(spark.range(4), "outer")
+        raise ValueError
+    assert kept.count() == 3 and spark.read.parquet(str(tmp_path / "out")).count() == 5
+    for removed in (inner, outer):
+        (file, *_) = removed.inputFiles()
+        assert not Path(file.removeprefix("file://")).exists()
+
+
 def test_a_sample_writes_nothing(spark, monkeypatch):
     def refuse(*_):
         raise AssertionError("a table was written")
