@@ -190,9 +190,13 @@ def read_upload_tracker(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_feed_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Stored feed pages, one JSON document per file; what is no JSON reads as null."""
-    table = spark.read.text(path, wholetext=True)
+def read_feed_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Stored feed pages, one JSON document per file or, with ``lines``, per line.
+
+    What is no JSON reads as null. Every file costs a listing entry and an opening, so pages
+    that are many and small are better stored as lines.
+    """
+    table = spark.read.text(path, wholetext=not lines)
     return table.select(
         F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("page")
     )

@@ -1,6 +1,7 @@
 import json
 import zipfile
 from collections import Counter
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -11,6 +12,8 @@ from medialoom.operators import backfill as back
 from medialoom.operators import masks as mask_ops
 from medialoom.operators import packaging as pack
 from medialoom.operators import scoring
+from medialoom.plans import all_queries, source_queries
+from medialoom.session import scratch_folder
 from medialoom.sources import archives, readers, writers
 
 NASTY = 'say "hi", then\nnew line\\ and \'quote\''
@@ -344,3 +347,34 @@ def test_backfill_types(spark):
     assert {(r.model, r.type) for r in whole.select("model", "type").distinct().collect()} == {
         ("o/big", "Base"), ("o/mid", "Fine-tune"), ("o/small", "LoRA")
     }
+
+
+def test_feed_pages_per_file_or_per_line(spark, tmp_path):
+    (tmp_path / "files").mkdir()
+    (tmp_path / "files" / "a.json").write_text('{"items": [1,\n 2]}\n')
+    (tmp_path / "files" / "b.json").write_text("no json")
+    (tmp_path / "lines.json").write_text('{"items": [1]}\nno json\n{"items": []}\n')
+    size = F.size(F.try_variant_get("page", "$.items", "array<variant>")).alias("n")
+    files = readers.read_feed_pages(spark, str(tmp_path / "files"))
+    assert [r.n for r in files.orderBy("path").select(size).collect()] == [2, None]
+    lines = readers.read_feed_pages(spark, str(tmp_path / "lines.json"), lines=True)
+    assert sorted((r.n is None, r.n) for r in lines.select(size).collect()) == [(False, 0), (False, 1), (True, None)]
+
+
+def written_by(spark, monkeypatch, query):
+    """Files and folders of the scratch folder that a query at sf0.01 writes, and its rows."""
+    folders = []
+
+    def noted(session, purpose):
+        folders.append(scratch_folder(session, purpose))
+        return folders[-1]
+
+    monkeypatch.setattr(source_queries, "scratch_folder", noted)
+    rows = all_queries.QUERIES[query](spark, "/root/testdata/sf0.01").count()
+    found = [p for folder in folders for p in Path(folder).rglob("[!._]*")]
+    return [p for p in found if p.is_file()], [p for p in found if p.is_dir()], rows
+
+
+def test_feed_pages_take_no_folder_each(spark, monkeypatch):
+    files, folders, rows = written_by(spark, monkeypatch, "read_feed_pages")
+    assert (len(files) <= 4, folders, rows) == (True, [], 8334)  # 200 pages, four tasks
