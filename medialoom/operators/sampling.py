@@ -148,18 +148,30 @@ def masks_by_archive(needed: DataFrame) -> DataFrame:
 
 
 def resolve_mask_path(needed: DataFrame, files: DataFrame) -> DataFrame:
-    """First existing of the three folder layouts for each mask, null if none."""
-    key = archive_key(F.col("MaskPath"))
-    layouts = F.array(
-        F.col("MaskPath"),
-        F.concat_ws("/", key, "MaskPath"),
-        F.concat_ws("/", F.concat(F.lit(fv.ARCHIVE_FOLDER_PREFIX), key), "MaskPath"),
+    """First existing of the three folder layouts for each mask, null if none.
+
+    Each file tells for which masks it may stand, and masks are joined and grouped on their own
+    name: one shuffle of either side, and no row for a place that no file holds.
+    """
+    mask, path = F.col("MaskPath"), F.col("path")
+    prefix = fv.ARCHIVE_FOLDER_PREFIX
+    folder = F.when(F.startswith(path, F.lit("///")), "/")  # the key of a name that begins with a slash
+    folder = folder.when(F.startswith(path, F.lit(f"{prefix}///")), f"{prefix}/")
+    folder = folder.when(F.contains(path, F.lit("/")), F.substring_index(path, "/", 1))
+    known = files.select("path").withColumn("_folder", folder)
+    rest = F.substring(path, F.length("_folder") + 2, F.length(path))
+    inside = (
+        F.when(F.col("_folder") == archive_key(rest), 1)
+        .when(F.col("_folder") == F.concat(F.lit(prefix), archive_key(rest)), 2)
+    )
+    places = F.array(
+        F.struct(path.alias("MaskPath"), F.lit(0).alias("place")),
+        F.struct(rest.alias("MaskPath"), inside.alias("place")),
     )
-    tried = needed.select("MaskPath", F.posexplode(layouts).alias("place", "path"))
-    there = files.select("path", F.lit(True).alias("_there"))
-    # a place without a file has a null order, which min_by passes over
-    return tried.join(there, "path", "left").groupBy("MaskPath").agg(
-        F.min_by("path", F.when(F.col("_there"), F.col("place"))).alias("path")
+    standing = known.select("path", F.inline(F.filter(places, lambda p: p["place"].isNotNull())))
+    # a mask without a file has a null order, which min_by passes over
+    return needed.select("MaskPath").join(standing, "MaskPath", "left").groupBy(mask).agg(
+        F.min_by("path", "place").alias("path")
     )
 
 
