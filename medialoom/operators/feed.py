@@ -53,6 +53,12 @@ FIELDS = (
     "url:string,video_url:string,videoUrl:string,media:variant,video:variant,"
     "generation:variant,generations:array<variant>,encodings:struct<{}>>"
 )
+# what tells whether a post has a url
+URL_ENCODING = "struct<path:string,url:string>"
+URL_FIELDS = (
+    "struct<url:string,video_url:string,videoUrl:string,media:variant,video:variant,"
+    "generation:variant,generations:array<variant>,encodings:struct<{}>>"
+)
 ROW = [
     "id", "title", "created_at", "model", "prompt", "creator", "quality", "video_url",
     "width", "height", "duration", "raw_post",
@@ -73,9 +79,10 @@ def _order(quality: str) -> list[str]:
     return list(dict.fromkeys([quality, *fv.FEED_QUALITIES]))
 
 
-def _fields(v: Column, quality: str) -> Column:
-    encodings = ",".join(f"{q}:{ENCODING}" for q in _order(quality))
-    return F.try_variant_get(v, "$", FIELDS.format(encodings))
+def _fields(v: Column, quality: str, url_only: bool = False) -> Column:
+    fields, encoding = (URL_FIELDS, URL_ENCODING) if url_only else (FIELDS, ENCODING)
+    encodings = ",".join(f"{q}:{encoding}" for q in _order(quality))
+    return F.try_variant_get(v, "$", fields.format(encodings))
 
 
 def _any(*texts: Column) -> Column:
@@ -100,13 +107,13 @@ def _nested(f: Column) -> Column:
     return F.coalesce(_filled(f["generation"]), F.get(f["generations"], 0))
 
 
-def _level(df: DataFrame, kept: list[str], quality: str, host: str) -> DataFrame:
+def _level(df: DataFrame, kept: list[str], quality: str, host: str, url_only: bool) -> DataFrame:
     """Read the post in ``_v``; keep it in ``_hit`` if it has a url, else go one level down."""
     f = F.col("_f")
     encoded = [
         _any(f["encodings"][q]["path"], f["encodings"][q]["url"]) for q in _order(quality)
     ]
-    df = df.withColumn("_f", _fields(F.col("_v"), quality)).withColumns(
+    df = df.withColumn("_f", _fields(F.col("_v"), quality, url_only)).withColumns(
         {
             "_encoded": F.coalesce(*encoded),
             "_candidate": _any(f["url"], f["video_url"], f["videoUrl"]),
@@ -189,23 +196,25 @@ def _descended(v: Column, quality: str, host: str) -> Column:
 
             return _let(_has_url(f, quality, host), go)
 
-        return F.when(state["ended"], state).otherwise(_let(_fields(state["v"], quality), read))
+        return F.when(state["ended"], state).otherwise(_let(_fields(state["v"], quality, url_only=True), read))
 
     start = F.struct(v.alias("v"), v.isNull().alias("ended"))
     return F.aggregate(F.sequence(F.lit(0), most), start, onward, lambda state: state["v"])
 
 
-def _hits(posts: DataFrame, post: str, quality: str, host: str) -> DataFrame:
+def _hits(posts: DataFrame, post: str, quality: str, host: str, url_only: bool = False) -> DataFrame:
     """What the first level with a url holds in ``_hit``, null if there is none.
 
+    With ``url_only`` no more fields are read than tell whether there is one.
+
     The outermost level is read as plain columns. Only what is open after it is walked down by an
     expression, and the level that the walk ends at is read like the outermost.
     """
     kept = [c for c in posts.columns if c != post]
-    df = _level(posts.withColumnRenamed(post, "_v"), kept, quality, host)
+    df = _level(posts.withColumnRenamed(post, "_v"), kept, quality, host, url_only)
     still = F.col("_open")
     below = F.when(still.isNotNull(), _descended(still, quality, host))
-    return _level(_stage(df.withColumnRenamed("_v", "_open"), _v=below), kept, quality, host)
+    return _level(_stage(df.withColumnRenamed("_v", "_open"), _v=below), kept, quality, host, url_only)
 
 
 def _encoding_state(f: Column, quality: str) -> Column:
@@ -311,16 +320,19 @@ def post_key(post: Column) -> Column:
 def with_detail_fallback(feed: DataFrame, detail: DataFrame, **options) -> DataFrame:
     """Posts without a url are read again from the detail table (key, detail).
 
-    Only those posts are joined; the others pass through. Posts are read twice, once for their rows and
-    once for those without any url; nothing is written in between.
+    ``detail`` is a variant or JSON text; of text only what is joined is parsed. Only those posts
+    are joined; the others pass through. Posts are read twice, once for their rows and
+    once for those without any url, for which only urls are read; nothing is written in between.
     """
     keyed = feed.withColumn("_key", post_key(F.col("post")))
     direct = normalize_feed_posts(feed, **options)
     quality, host = options.get("quality", "source"), options.get("host", fv.FEED_VIDEO_HOST)
-    lost = _hits(keyed, "post", quality, host).filter(F.col("_hit").isNull()).drop("_hit", "_v")
-    found = lost.join(
+    lost = _hits(keyed, "post", quality, host, url_only=True).filter(F.col("_hit").isNull())
+    found = lost.drop("_hit", "_v").join(
         detail.select(F.col("key").alias("_key"), F.col("detail").alias("post")), "_key"
     )
+    if dict(detail.dtypes)["detail"] == "string":
+        found = found.withColumn("post", F.parse_json("post"))
     return direct.unionByName(normalize_feed_posts(found, **options).drop("_key"))
 
 

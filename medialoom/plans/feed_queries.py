@@ -150,7 +150,7 @@ union all select event_id, 'e' || event_id, 'from detail', case when event_id %
 from events where event_id % 6 = 5 and event_id % 2 = 1""",
 )
 def _(t):
-    details = t.view("feed_details").select("key", F.parse_json("body").alias("detail"))
+    details = t.view("feed_details").withColumnRenamed("body", "detail")
     rows = feed.with_detail_fallback(posts(t), details)
     return rows.select("event_id", "id", "title", "model", "video_url")
 

@@ -153,3 +153,10 @@ def test_detail_is_read_only_where_the_feed_has_no_url(spark):
     )
     got = {r.n: r.video_url for r in feed.with_detail_fallback(parsed(spark, POSTS), detail).collect()}
     assert got[6] == "d.mp4" and got[0] == "http://x/a.mp4" and 7 in got
+
+
+def test_detail_may_be_text_and_is_parsed_after_the_join(spark):
+    posts = parsed(spark, [{"id": "a"}, {"id": "b", "url": "b.mp4"}])
+    texts = [("a", '{"id": "a", "url": "d.mp4"}'), ("unasked", "no json")]
+    detail = spark.createDataFrame(texts, "key string, detail string")
+    assert sorted(r.video_url for r in feed.with_detail_fallback(posts, detail).collect()) == ["b.mp4", "d.mp4"]
