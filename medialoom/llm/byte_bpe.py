@@ -46,13 +46,15 @@ class Codec(dict):
         if len(parts) > 2 * LEAF:
             return self.by_heap(parts)
         none = len(self.bytes) + 256
-        while len(parts) > 1:
-            found = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-            best = min(found)
-            if best == none:
-                break
+        found = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while found and (best := min(found)) != none:
             at = found.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            parts[at : at + 2] = [merged := parts[at] + parts[at + 1]]
+            del found[at]  # only the neighbours of what merged have new pairs
+            if at < len(found):
+                found[at] = ranks.get(merged + parts[at + 1], none)
+            if at:
+                found[at - 1] = ranks.get(parts[at - 1] + merged, none)
         return [ranks[p] for p in parts]
 
     def by_heap(self, parts: list[bytes]) -> list[int]:

@@ -172,3 +172,17 @@ def test_line_dedup_against_plain_python(spark, rows):
 def test_long_text_without_lines_is_left_alone(spark):
     got = lines.without_repeats(documents(spark, [(1, LONG, "en", "s")])).first()
     assert got.text == LONG and got.n_removed == 0
+
+
+def test_a_merge_looks_up_new_neighbours_only():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    codec = byte_bpe.Codec(Counted(byte_bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))), P.PATTERN)
+    data = b"internationalis"
+    codec.direct(data)
+    assert Counted.asked <= 3 * len(data)
