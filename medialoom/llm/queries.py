@@ -225,8 +225,8 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op13_suffix_dedup")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
-    found = suffixes.repeats(read(spark, folder, "documents").select("doc_id", "text"))
-    digest = F.coalesce(F.sha2("kept", 256), F.lower(F.hex("sha")))
+    found = suffixes.repeats(read(spark, folder, "documents").select("doc_id", "text"), digest=True)
+    digest = F.coalesce("kept", F.lower(F.hex("sha")))
     return found.select(
         "doc_id", "n_bytes", suffixes.removed_bytes(F.col("spans")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), digest.alias("kept_sha256"),

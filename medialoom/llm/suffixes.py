@@ -500,9 +500,10 @@ def cut_out(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataF
 SPANS = "array<struct<from:long,to:long>>"
 
 
-def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, digest: bool = False) -> DataFrame:
     """One row per document: doc_id, sha (of its text), n_bytes, spans that are removed, and kept,
-    the bytes left; kept is null where nothing is removed.
+    the bytes left; kept is null where nothing is removed. With ``digest`` kept is the SHA-256 of these
+    bytes as hexadecimal text: they are neither written nor shuffled to their rows.
 
     Only texts that share a name with another go through a shuffle, once to be given their names
     and once to be cut; all else is ids and hashes.
@@ -528,13 +529,18 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         return settle(group, length)
 
+    def told(kept: Column) -> Column:
+        return F.sha2(kept, 256) if digest else kept
+
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sent = texts.mapInPandas(make, StructType.fromDDL(sent_schema(id_type)))
     settled = sent.groupBy("bucket").applyInPandas(run, "sha binary, from long, to long")
     settled = settled.groupBy("sha").agg(F.collect_list(F.struct("from", "to")).alias("found"))
     cut = F.pandas_udf(cut_out, f"kept binary, spans {SPANS}")
     mine = texts.select("_id", "sha", "text").dropDuplicates(["sha"]).join(settled, "sha")
-    mine = cut_lineage(mine.select("_id", "sha", cut("text", "found").alias("r")), "spans")
+    mine = mine.select("_id", "sha", cut("text", "found").alias("r"))
+    left = told(F.col("r")["kept"]).alias("kept")
+    mine = cut_lineage(mine.select("_id", "sha", F.struct(left, F.col("r")["spans"].alias("spans")).alias("r")), "spans")
     named = rows.join(first.select("sha", F.col("_id").alias("f_id"), F.lit(True).alias("long")), "sha", "left")
     joined = named.join(prefixed(mine, "m_"), same_document("", "m_"), "left")
     copy = F.col("long") & ~F.col("_id").eqNullSafe(F.col("f_id"))
@@ -542,7 +548,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return joined.select(
         F.col("_id").alias("doc_id"), "sha", F.col("n").alias("n_bytes"),
         F.when(copy, whole).otherwise(F.coalesce(F.col("r")["spans"], F.array().cast(SPANS))).alias("spans"),
-        F.when(copy, F.lit(b"")).otherwise(F.col("r")["kept"]).alias("kept"),
+        F.when(copy, told(F.lit(b""))).otherwise(F.col("r")["kept"]).alias("kept"),
     )
 
 

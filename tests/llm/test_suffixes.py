@@ -138,3 +138,13 @@ def test_clashing_names(spark):
     got = suffixes.without_repeats(docs)
     assert [c for c in got.columns] == ["doc_id", "text", *names[:-1], "n_bytes", "n_removed", "n_spans", "kept"]
     assert found(got) == wanted(passages(20), 100)
+
+
+def test_digests_travel_instead_of_bytes(spark):
+    import hashlib
+
+    docs = documents(spark, passages(20))
+    whole = {(r.doc_id, r.sha): r.kept for r in suffixes.repeats(docs).collect()}
+    short = {(r.doc_id, r.sha): r.kept for r in suffixes.repeats(docs, digest=True).collect()}
+    assert short == {k: v if v is None else hashlib.sha256(v).hexdigest() for k, v in whole.items()}
+    assert any(short.values())
