@@ -116,28 +116,17 @@ def ranked_flags(
     pass over the key and the flag makes: how many rows it has of either kind, and how many
     without the flag lie before its last one with it.
     """
-    inside = Window.partitionBy(BUCKET).orderBy(SHUFFLE_KEY, *key)
-    here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = _hashed(df, key, seed, digits).withColumn(
-        "_seen", F.sum(F.col(flag).cast("bigint")).over(here)
-    )
-    ranked = ranked.withColumn("_lost", F.row_number().over(inside) - F.col("_seen"))
-    lost = F.when(F.col(flag), F.col("_lost"))  # grows along the shuffle, so its maximum is its last
+    ranked, inside = _ranked(df, flag, key, seed, digits)
+    buckets = _flag_buckets(ranked, flag)
     before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        ranked.groupBy(BUCKET)
-        .agg(F.max("_seen").alias("_n"), F.max("_lost").alias("_gone"), F.max(lost).alias("_last"))
-        .withColumn("_start", F.coalesce(F.sum("_gone").over(before), F.lit(0)))
-        .select(
-            BUCKET,
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-            (F.col("_start") - F.coalesce(F.max(F.col("_start") + F.col("_last")).over(before), F.lit(0))).alias("_carried"),
-        )
+    offsets = buckets.select(
+        BUCKET,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        (F.col("_start") - F.coalesce(F.max(F.col("_start") + F.col("_last")).over(before), F.lit(0))).alias("_carried"),
     )
-    found = ranked.withColumn("_previous", F.max(lost).over(earlier)).filter(flag)
+    found = ranked.filter(flag).withColumn("_previous", F.lag("_lost").over(inside))
     # one row per bucket, at most 65,536
-    numbered = found.join(F.broadcast(buckets), BUCKET, "left").withColumns(
+    numbered = found.join(F.broadcast(offsets), BUCKET, "left").withColumns(
         {
             index: F.col("_offset") + F.col("_seen") - 1,
             missed: F.col("_lost") - F.coalesce(F.col("_previous"), -F.col("_carried")),
@@ -148,6 +137,40 @@ def ranked_flags(
     )
 
 
+def flag_totals(df: DataFrame, flag: str, key: list[str], seed: object, digits: Column) -> Column:
+    """How many rows of a shuffle have the flag (``found``), how many have not (``missing``), and how
+    many of the latter lie before its last row with it (``met``), as a struct in a scalar subquery.
+
+    All three are sums of the bucket table of ``ranked_flags``, so both share one pass.
+    """
+    buckets = _flag_buckets(_ranked(df, flag, key, seed, digits)[0], flag)
+    sums = {"found": F.sum("_n"), "missing": F.sum("_gone"), "met": F.max(F.col("_start") + F.col("_last"))}
+    totals = F.struct(*[F.coalesce(total, F.lit(0)).alias(name) for name, total in sums.items()])
+    return buckets.agg(totals.alias("totals")).scalar()
+
+
+def _ranked(df: DataFrame, flag: str, key: list[str], seed: object, digits: Column) -> tuple:
+    """Every row with the number of those with and without the flag in its bucket up to it, and the window."""
+    inside = Window.partitionBy(BUCKET).orderBy(SHUFFLE_KEY, *key)
+    here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = _hashed(df, key, seed, digits).withColumn(
+        "_seen", F.sum(F.col(flag).cast("bigint")).over(here)
+    )
+    return ranked.withColumn("_lost", F.row_number().over(inside) - F.col("_seen")), inside
+
+
+def _flag_buckets(ranked: DataFrame, flag: str) -> DataFrame:
+    """One row per bucket: its rows with the flag, without it, those before its last one with it, and
+    the rows without it in earlier buckets."""
+    lost = F.when(F.col(flag), F.col("_lost"))  # grows along the shuffle, so its maximum is its last
+    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        ranked.groupBy(BUCKET)
+        .agg(F.max("_seen").alias("_n"), F.max("_lost").alias("_gone"), F.max(lost).alias("_last"))
+        .withColumn("_start", F.coalesce(F.sum("_gone").over(before), F.lit(0)))
+    )
+
+
 def in_ranges(df: DataFrame, order: list[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Written rows in the engine's range partitions, sorted, with partition and place in it.
 

@@ -12,13 +12,14 @@ from medialoom.functions import fixed_values as fv
 from medialoom.functions.columns import archive_key, hash_number, int_div, order_hash
 from medialoom.operators.numbering import (
     bucket_digits,
+    flag_totals,
     hash_index,
     hashed_total,
     ordered_index,
     ranked_flags,
     row_total,
 )
-from medialoom.operators.skew import salted_left_join
+from medialoom.operators.skew import salted_flag
 
 PREFIX = 3  # hex digits of the hash by which a sample counts rows: 4096 groups
 HEAD_ROWS = 10_000  # rows that one task may merge
@@ -127,9 +128,7 @@ def flag_masks(
     rows: DataFrame, files: DataFrame, spread: list[str], path: str = "MaskPath"
 ) -> DataFrame:
     """All rows with a flag that tells whether their file exists; hot files are spread."""
-    there = files.select(F.col("path").alias(path)).distinct().withColumn("_there", F.lit(True))
-    joined = salted_left_join(rows, there, path, spread)
-    return joined.withColumn("valid", F.coalesce("_there", F.lit(False))).drop("_there")
+    return salted_flag(rows, files.select(F.col("path").alias(path)), path, spread, "valid")
 
 
 def needed_masks(shards: DataFrame) -> DataFrame:
@@ -265,13 +264,26 @@ def _slots(
     ``missing_before`` counts the missing rows that the shuffle holds right before a
     valid one. There are as many buckets as all rows ask for, which is known without a join.
     """
-    digits, valid = bucket_digits(rows), valid_masks(rows, files)
+    digits = bucket_digits(rows)
     if not with_missing:
+        valid = valid_masks(rows, files)
         slots = hash_index(valid, key, seed, "slot", digits=digits)
         return slots, hashed_total(valid, key, seed, digits)
     flagged = flag_masks(rows, files, key)
     slots = ranked_flags(flagged, "valid", key, seed, digits, "slot", "missing_before")
-    return slots.drop("valid"), row_total(valid)
+    return slots.drop("valid"), flag_totals(flagged, "valid", key, seed, digits)["found"]
+
+
+def missing_total(
+    rows: DataFrame, files: DataFrame, key: list[str], seed: object = fv.SHUFFLE_SEED
+) -> Column:
+    """Number of rows without a file as a scalar subquery.
+
+    It is made of the pass in which a sample drawn with_missing ranks the rows, so that a plan
+    that holds both joins rows and files once.
+    """
+    flagged = flag_masks(rows, files, key)
+    return flag_totals(flagged, "valid", key, seed, bucket_digits(rows))["missing"]
 
 
 def sample_per_model(

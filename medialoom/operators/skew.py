@@ -44,15 +44,40 @@ def salted_left_join(
     ``counted`` is a table with about as many rows of each key as ``left``: give the one that
     ``left`` was made from to count its keys without making it twice."""
     salts = salts_of(left if counted is None else counted, key, rows_per_task)
-    tasks = F.coalesce(F.try_element_at(F.col("_salts"), F.col(key)), F.lit(1))
-    salted = (
-        left.withColumn("_salts", salts)
-        .withColumn(SALT, F.pmod(F.xxhash64(*spread), tasks).cast("int"))
-        .drop("_salts")
-    )
     repeated = (
         right.withColumn("_salts", salts)
-        .withColumn(SALT, F.explode(F.sequence(F.lit(0), tasks - 1)))
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), _tasks(key) - 1)))
         .drop("_salts")
     )
-    return salted.join(repeated, [key, SALT], "left").drop(SALT)
+    return _salted(left, key, spread, salts).join(repeated, [key, SALT], "left").drop(SALT)
+
+
+def salted_flag(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread: list[str],
+    flag: str,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """left with a flag that tells whether right holds its key, as often as it may; salted alike.
+
+    Keys of right are repeated first and made distinct with their salt, so one shuffle of them
+    serves both that and the join. A key leaves the repetition as a new column, so that the
+    filter for null keys is not pushed below it, where the key would be worked out once more.
+    """
+    salts = salts_of(left, key, rows_per_task)
+    keys = right.select(key).withColumn("_salts", salts)
+    repeated = keys.select(F.posexplode(F.array_repeat(key, _tasks(key))).alias(SALT, key))
+    there = repeated.groupBy(key, SALT).agg(F.max(F.lit(True)).alias(flag))
+    joined = _salted(left, key, spread, salts).join(there, [key, SALT], "left").drop(SALT)
+    return joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+
+def _tasks(key: str) -> Column:
+    return F.coalesce(F.try_element_at(F.col("_salts"), F.col(key)), F.lit(1))
+
+
+def _salted(left: DataFrame, key: str, spread: list[str], salts: Column) -> DataFrame:
+    salted = left.withColumn("_salts", salts)
+    return salted.withColumn(SALT, F.pmod(F.xxhash64(*spread), _tasks(key)).cast("int")).drop("_salts")

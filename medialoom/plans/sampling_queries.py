@@ -130,8 +130,8 @@ from models m left join (select id, count(*) as found, sum(missing_before)::bigi
                          from sample group by id) s on m.id = s.id""",
 )
 def _(t):
-    missing = smp.missing_masks(t.view("segmentations"), t.view("mask_files"))
-    return smp.sampling_report(sample(t, True), models(t), num.row_total(missing))
+    missing = smp.missing_total(t.view("segmentations"), t.view("mask_files"), ["ord"])
+    return smp.sampling_report(sample(t, True), models(t), missing)
 
 
 @query(

@@ -224,6 +224,40 @@ def test_sampling_report_counts_the_missing_rows_on_the_way(spark):
     ]
 
 
+def test_a_sampling_report_reads_rows_and_files_once(spark):
+    data, files, models = sample_inputs(spark)
+    read = {name: spark.sparkContext.accumulator(0) for name in ("rows", "files")}
+
+    def counted(name):
+        def see(path):
+            read[name].add(1)
+            return path
+
+        return F.udf(see, "string")
+
+    data = data.withColumn("MaskPath", counted("rows")("MaskPath"))
+    files = files.select(counted("files")("path").alias("path"))
+    smp.sample_per_model(models, data, files, ["ord"], with_missing=True).count()
+    # rows a second time for the sketch of hot keys
+    assert (read["rows"].value, read["files"].value) == (400, 160)
+    sample = smp.sample_per_model(models, data, files, ["ord"], with_missing=True)
+    report = smp.sampling_report(sample, models, smp.missing_total(data, files, ["ord"])).collect()
+    assert (read["rows"].value, read["files"].value) == (800, 320)
+    assert {r.id: (r.found, r.missing_met) for r in report if r.id == "org/c"} == {"org/c": (160, 40)}
+
+
+@pytest.mark.parametrize("every", [1, 2, 40, 1000])
+def test_flag_totals(spark, every):
+    rows = spark.range(300).select(F.col("id").alias("k"), (F.col("id") % every == every - 1).alias("there"))
+    for n in (300, 0):
+        some = rows.filter(F.col("k") < n)
+        got = spark.range(1).select(num.flag_totals(some, "there", ["k"], 5, F.lit(2))).first()[0]
+        order = sorted(range(n), key=lambda k: (md5(f"5|{k}"), k))
+        flags = [k % every == every - 1 for k in order]
+        last = max((i for i, flag in enumerate(flags) if flag), default=-1)
+        assert tuple(got) == (sum(flags), n - sum(flags), flags[: last + 1].count(False))
+
+
 @pytest.mark.parametrize("every", [1, 2, 40, 150, 1000])
 @pytest.mark.parametrize("digits", [1, 2])
 def test_ranked_flags_carry_over_buckets(spark, every, digits):

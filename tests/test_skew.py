@@ -111,3 +111,14 @@ def test_no_window_over_all_rows(spark, segmentations):
         for line in plan.splitlines():
             if "Window [" in line and "row_number" in line:
                 assert "[_bucket" in line
+
+
+@pytest.mark.parametrize("rows_per_task", [300, 1 << 20])
+def test_salted_flag_keeps_every_row_once(spark, segmentations, rows_per_task):
+    # keys named twice or null; a null key is never there
+    right = spark.createDataFrame([("hot",), ("k1",), ("k1",), ("hot",), (None,), ("none",)], "ImageID string")
+    left = segmentations.withColumn("ImageID", F.when(F.col("ImageID") != "k2", F.col("ImageID")))
+    flagged = skew.salted_flag(left, right, "ImageID", ["ord"], "there", rows_per_task)
+    got = {r.ord: r.there for r in flagged.select("ord", "there").collect()}
+    assert flagged.count() == N == len(got)
+    assert got == {f"{i:08d}": i % 3 == 0 or i == 1 for i in range(N)}
